@@ -9,7 +9,9 @@ WHITESPACE = (
     "    　"
 )
 
+# Letters that have case; a space starts a word for ``initcap`` already.
 _CASED = r"[\p{IsUppercase}\p{IsLowercase}\p{Lt}]"
+_HIDDEN_START = rf"([^\p{{IsUppercase}}\p{{IsLowercase}}\p{{Lt}} ])(?={_CASED})"
 _MARK = "\u0001 "
 
 
@@ -21,8 +23,10 @@ def strip(text: Column) -> Column:
 def title_case(text: Column) -> Column:
     """Upper-case each letter that follows a non-letter, lower-case the others: Murang'A.
 
-    ``initcap`` starts a word at spaces only, so a marked space goes before every other word start
-    and is taken out again. That keeps the expression in generated code, without array functions.
+    ``initcap`` starts a word at spaces only. Where a word starts after anything else, a marked space
+    goes in front of it and is taken out again. That stays within generated code, which functions over
+    arrays of words would not, and most names need no marks.
     """
-    marked = F.regexp_replace(text, f"(?<!{_CASED})(?={_CASED})", _MARK)
-    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    marked = F.regexp_replace(text, _HIDDEN_START, f"$1{_MARK}")
+    unmarked = F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
+    return F.when(text.rlike(_HIDDEN_START), unmarked).otherwise(F.initcap(text))

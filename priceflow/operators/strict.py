@@ -25,8 +25,11 @@ def clean_strict_typed(text: DataFrame) -> DataFrame:
     columns |= {c: to_int(F.col(c)) for c in ("market_id", "commodity_id")}
     columns |= {c: to_double(F.col(c)) for c in ("latitude", "longitude", "price", "usdprice")}
     columns |= {c: F.nullif(strip(F.col(c)), F.lit("nan")) for c in text_columns(RAW)}
-    typed = text.select(*[columns[c].alias(c) for c in RAW.names])
-    return typed.na.drop("any").dropDuplicates().withColumnsRenamed(STRICT_RENAMES)
+    typed = text.select(*[columns[c].alias(c) for c in RAW.names], F.spark_partition_id().alias("_task"))
+    # Catalyst would move the null filter below the conversions by copying them into it, and convert
+    # every value twice. It does not move a filter that also looks at the task number.
+    complete = typed.na.drop("any").where("_task >= 0").drop("_task")
+    return complete.distinct().withColumnsRenamed(STRICT_RENAMES)
 
 
 def null_profile(df: DataFrame) -> DataFrame:

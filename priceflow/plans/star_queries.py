@@ -1,9 +1,10 @@
 """Queries over the star schema and the staging table.
 
 Dimensions carry no broadcast hint: read from Parquet, they have a known size, and Catalyst broadcasts
-those below the threshold. Where the answer is per commodity or per market, the fact table is folded
-to one row per dimension key before the join, which then joins few rows whatever the dimension's size
-and however many rows one key holds.
+those below the threshold; a larger one is joined by a shuffle that AQE splits where a key is hot.
+Where the answer can be put together from sums per commodity or market id, the fact table is folded by
+id before the join, which then joins few rows whatever the dimension's size and however many rows one
+id holds.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def _avg_of_parts(measure: str, digits: int) -> Column:
 def monthly_avg_price(
     fact: DataFrame, dim_date: DataFrame, dim_commodity: DataFrame, dim_market: DataFrame
 ) -> DataFrame:
-    """Joins first: a county has many markets, so grouping by county folds further than by key."""
+    """Joins first: a county has many markets, so grouping by county folds further than by market id."""
     return (
         fact.join(dim_date.select("date_id", "year", "month"), "date_id")
         .join(dim_commodity.select("commodity_id", "commodity", "category"), "commodity_id")
@@ -53,11 +54,10 @@ def monthly_avg_price(
 def price_trends(fact: DataFrame, dim_date: DataFrame, dim_commodity: DataFrame) -> DataFrame:
     """Yearly averages and the change against the previous observed year, both from values already
     rounded to 4 places. The category decides the order of rows of one commodity and year."""
-    by_key = fact.groupBy("date_id", "commodity_id").agg(
-        *_parts("usd_price", "price_per_kg"), F.count("*").alias("rows")
-    )
     yearly = (
-        by_key.join(dim_date.select("date_id", "year"), "date_id")
+        fact.join(dim_date.select("date_id", "year"), "date_id")
+        .groupBy("year", "commodity_id")
+        .agg(*_parts("usd_price", "price_per_kg"), F.count("*").alias("rows"))
         .join(dim_commodity.select("commodity_id", "commodity", "category"), "commodity_id")
         .groupBy("year", "commodity", "category")
         .agg(
@@ -76,37 +76,20 @@ def price_trends(fact: DataFrame, dim_date: DataFrame, dim_commodity: DataFrame)
 
 
 def commodity_summary(fact: DataFrame, dim_commodity: DataFrame) -> DataFrame:
-    """Per commodity, category and unit. The deviation of several ids together comes from each id's
-    count, mean and squared deviations, which add up without large sums cancelling out."""
-    usd = F.col("usd_price").cast("double")
-    by_key = fact.groupBy("commodity_id").agg(
-        F.count("*").alias("rows"),
-        *_parts("price", "usd_price"),
-        F.avg(usd).alias("mean"),
-        F.var_pop(usd).alias("variance"),
-        F.min("usd_price").alias("low"),
-        F.max("usd_price").alias("high"),
-        F.min("date_id").alias("first_date"),
-        F.max("date_id").alias("last_date"),
-    )
-    group = Window.partitionBy("commodity", "category", "unit")
-    n = F.col("usd_price_count")
-    center = F.try_divide(F.sum(n * F.col("mean")).over(group), F.sum(n).over(group))
-    total = F.sum(n)
-    squares = F.sum(n * (F.col("variance") + F.pow(F.col("mean") - F.col("center"), F.lit(2))))
+    """Per commodity, category and unit. Joins first: the deviations of several ids do not add up."""
+    usd = F.col("usd_price")
     return (
-        by_key.join(dim_commodity.select("commodity_id", "commodity", "category", "unit"), "commodity_id")
-        .withColumn("center", center)
+        fact.join(dim_commodity.select("commodity_id", "commodity", "category", "unit"), "commodity_id")
         .groupBy("commodity", "category", "unit")
         .agg(
-            F.sum("rows").alias("total_observations"),
-            _avg_of_parts("price", 2).alias("avg_price_kes"),
-            _avg_of_parts("usd_price", 4).alias("avg_usd_price"),
-            F.round(F.sqrt(squares / F.when(total > 1, total - 1)), 4).alias("stddev_usd_price"),
-            F.min("low").alias("min_usd_price"),
-            F.max("high").alias("max_usd_price"),
-            F.min("first_date").alias("first_observed"),
-            F.max("last_date").alias("last_observed"),
+            F.count("*").alias("total_observations"),
+            exact_avg(F.col("price"), 2).alias("avg_price_kes"),
+            exact_avg(usd, 4).alias("avg_usd_price"),
+            F.round(F.stddev_samp(usd.cast("double")), 4).alias("stddev_usd_price"),
+            F.min(usd).alias("min_usd_price"),
+            F.max(usd).alias("max_usd_price"),
+            F.min("date_id").alias("first_observed"),
+            F.max("date_id").alias("last_observed"),
         )
         .orderBy(F.desc_nulls_first("avg_usd_price"))
     )
