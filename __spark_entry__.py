@@ -274,7 +274,7 @@ def u8_surrogate_keys(inputs: Inputs) -> DataFrame:
             F.lit(table).alias("table_name"),
             F.count("*").alias("rows"),
             F.count_distinct(key).alias("keys"),
-            F.min(key).alias("first_key"),
+            (F.min(key) >= 1).alias("positive"),
         )
         for table, key in keys.items()
     ]

@@ -484,8 +484,8 @@ def oracles() -> dict[str, str]:
         "u7_two_batches": two_batches,
         "u8_surrogate_keys": over(
             "staging",
-            """SELECT 'stg_cleaned_prices' AS table_name, count(*) AS rows, count(*) AS keys, 1::BIGINT AS first_key FROM staging
-            UNION ALL SELECT 'fact_prices', count(*), count(*), 1 FROM staging""",
+            """SELECT 'stg_cleaned_prices' AS table_name, count(*) AS rows, count(*) AS keys, true AS positive FROM staging
+            UNION ALL SELECT 'fact_prices', count(*), count(*), true FROM staging""",
         ),
         "j4_insert_if_absent": """SELECT l_suppkey, 'old' AS origin FROM lineitem WHERE l_shipdate < TIMESTAMP '1995-02-01' GROUP BY l_suppkey
             UNION ALL SELECT l_suppkey, 'new' FROM lineitem WHERE l_suppkey NOT IN

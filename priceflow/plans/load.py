@@ -112,8 +112,9 @@ def conform(
 ) -> DataFrame:
     """The table's columns in order and type, with its surrogate key and load time.
 
-    The keys are unique and rise from load to load but have gaps: closing the gaps would need a count
-    of the rows before each task's.
+    The keys are unique and rise from load to load but have gaps, as each task counts in a range of
+    its own; closing them would need the number of rows in all earlier tasks first. A load of a million
+    tasks uses up a thousandth of all keys, and running out of them is an error under ANSI rules.
     """
     columns = []
     for field in schemas.storage_schema(schema).fields:
