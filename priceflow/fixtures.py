@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from priceflow.operators.enrich import clean
 from priceflow.operators.strict import clean_strict
@@ -78,6 +78,9 @@ def _coordinate(no_place: Column, value: Column) -> Column:
     return F.when(~no_place & (F.col("l_linenumber") != 3), value.cast("decimal(8,4)"))
 
 
+_SCHEMAS: dict[str, T.StructType] = {}
+
+
 class Inputs:
     """The stored tables of one test data folder."""
 
@@ -90,6 +93,12 @@ class Inputs:
         path = f"{self.root}/{name}"
         return path, path_exists(self.spark, f"{path}/_SUCCESS")
 
+    def _read(self, path: str) -> DataFrame:
+        """Looks at the files for the schema once, not in every query."""
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+
     def csv(self) -> str:
         """The observations as a CSV source."""
         path, made = self._made("csv")
@@ -102,14 +111,14 @@ class Inputs:
         path, made = self._made("raw")
         if not made:
             read_raw(self.spark, self.csv(), ("iso", "dmy")).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path).select(*RAW.names)
+        return self._read(path).select(*RAW.names)
 
     def cleaned(self) -> DataFrame:
         """The strictly cleaned table."""
         path, made = self._made("cleaned")
         if not made:
             clean_strict(self.raw()).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self._read(path)
 
     def extracted(self) -> DataFrame:
         """What the pipeline hands from extraction to cleaning: dates still text, with row order."""
@@ -118,20 +127,21 @@ class Inputs:
             source = scan_named(self.spark, self.csv(), row_seq=True)
             typed = type_columns(source, price=(12, 4), date_formats=None)
             typed.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        return self._read(path)
 
     def enriched(self) -> DataFrame:
         """The cleaned, enriched prices that checks and loads read."""
         path, made = self._made("enriched")
         if not made:
             return store_cleaned(clean(self.extracted(), f"{self.root}/enriched_work"), path)
-        return self.spark.read.parquet(path)
+        return self._read(path)
 
     def warehouse(self) -> Warehouse:
         """Staging table and star schema, loaded by the pipeline; undated rows are set apart."""
         warehouse = Warehouse(self.spark, f"{self.root}/warehouse")
         if not warehouse.loads():
             run_pipeline(self.spark, [self.csv()], warehouse.root, load_id="first", on_violation="reject")
+            warehouse.refresh()
         return warehouse
 
 

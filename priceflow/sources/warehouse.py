@@ -45,9 +45,16 @@ _YEAR = T.StructField("year", T.IntegerType())
 
 
 class Warehouse:
+    """Looks up the published loads once and reads all tables as of then; a load through the same
+    object, or ``refresh``, moves it on."""
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._loads: list | None = None
+
+    def refresh(self) -> None:
+        self._loads = None
 
     def path(self, table: str, load_id: str | None = None) -> str:
         folder = f"{self.root}/{table}"
@@ -55,6 +62,11 @@ class Warehouse:
 
     def loads(self) -> list:
         """The published loads, oldest first: one small row for each."""
+        if self._loads is None:
+            self._loads = self._published()
+        return self._loads
+
+    def _published(self) -> list:
         try:
             rows = self.spark.read.schema(LOADS).parquet(self.path("loads")).collect()
         except AnalysisException as failure:
@@ -109,3 +121,4 @@ class Warehouse:
         committed = self.spark.createDataFrame([{**row, "committed_at": None}], LOADS)
         committed = committed.withColumn("committed_at", F.current_timestamp())
         committed.coalesce(1).write.mode("append").parquet(self.path("loads"))
+        self.refresh()
