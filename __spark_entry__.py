@@ -17,6 +17,12 @@ from priceflow.session import hand_off, scratch_path
 from priceflow.sources import prices
 from priceflow.sources.warehouse import TABLES, Warehouse
 
+try:  # an optional part, which nothing else imports
+    import corpus_pipeline
+    from priceflow.llm import oracle as llm_oracle, queries as llm_queries
+except ImportError:
+    corpus_pipeline = llm_oracle = llm_queries = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Names and years that occur in the test data, in place of the defaults.
@@ -433,9 +439,17 @@ def _query(plan: Callable[[Inputs], DataFrame]) -> Query:
 
 def queries() -> dict[str, Query]:
     """One entry per operator and query; each reads ``sf_dir`` or tables that Spark made of it."""
-    return {name: _query(plan) for name, plan in PLANS.items()}
+    found = {name: _query(plan) for name, plan in PLANS.items()}
+    if llm_queries:
+        found |= llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    """SQL over the same tables for every key of ``queries()``."""
-    return oracles()
+    """SQL over the same tables, for every key of ``queries()`` that SQL can express."""
+    found = oracles()
+    if llm_oracle:
+        found |= llm_oracle.SQL
+        if corpus_pipeline.ORACLE_SQL:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
