@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import line_dedup
+from priceflow.llm import line_dedup, near_dup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,10 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dup.op3_near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op4_lines(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Query] = {
+    "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
 }
