@@ -11,7 +11,8 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 CHUNK = 1 << 20
 WHITE = b" \t\n\x0b\x0c\r"
@@ -138,11 +139,26 @@ def shingle_set(words: np.ndarray, size: int) -> np.ndarray:
     return np.unique(shingle_hashes(words, min(size, len(words))))
 
 
-def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` for a function of one batch."""
+#: Bounds of an Arrow batch that a Python worker and its executor hold, besides one row.
+BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": 2000, "spark.sql.execution.arrow.maxBytesPerBatch": 4 << 20}
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Lower the session's limits of an Arrow batch to ``BATCH``, for rows of thousands of characters."""
+    for key, most in BATCH.items():
+        now = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+        if not 0 < now <= most:
+            spark.conf.set(key, str(most))
+
+
+def map_batches(
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
+) -> DataFrame:
+    """``mapInArrow`` for a function of one batch, with batches of bounded size."""
 
     def run(batches):
         for batch in batches:
             yield from function(batch)
 
+    bound_batches(df.sparkSession)
     return df.mapInArrow(run, schema)
