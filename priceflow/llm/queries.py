@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import line_dedup, near_dup
+from priceflow.llm import decontam, line_dedup, near_dup, simple8b
+
+TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -23,7 +26,17 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.op4_lines(table(spark, sf_dir, "documents"))
 
 
+def op5_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simple8b.op5_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+
+
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.op7_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
+    "op5_simple8b_tokens": op5_simple8b_tokens,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
 }
