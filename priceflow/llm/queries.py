@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, line_dedup, near_dup, simple8b
+from priceflow.llm import decontam, line_dedup, near_dup, packing, simple8b
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -34,9 +34,14 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.op7_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.op8_packing(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+
+
 QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_simple8b_tokens": op5_simple8b_tokens,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
+    "op8_best_fit_packing": op8_best_fit_packing,
 }
