@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, line_dedup, near_dup, packing, simple8b
+from priceflow.llm import decontam, line_dedup, near_dup, packing, simple8b, warc
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -30,6 +30,10 @@ def op5_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simple8b.op5_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op6_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.op6_archives(table(spark, sf_dir, "pages"))
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.op7_contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Query] = {
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_simple8b_tokens": op5_simple8b_tokens,
+    "op6_warc_normaliser": op6_warc_normaliser,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
 }
