@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, line_dedup, near_dup, packing, simple8b, warc
+from priceflow.llm import decontam, line_dedup, near_dup, packing, quality_bayes, simple8b, warc
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -18,6 +18,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bayes.op1_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.op3_near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -43,6 +47,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_quality_classifier": op1_quality_classifier,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_simple8b_tokens": op5_simple8b_tokens,
