@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, line_dedup, near_dup, packing, quality_bayes, simple8b, warc
+from priceflow.llm import decontam, divergence, line_dedup, near_dup, packing, quality_bayes, simple8b, warc
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -22,6 +22,10 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_bayes.op1_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op2_divergence_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.op2_rules(table(spark, sf_dir, "documents"))
+
+
 def op3_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dup.op3_near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
+    "op2_divergence_rules": op2_divergence_rules,
     "op3_minhash_near_dedup": op3_minhash_near_dedup,
     "op4_line_dedup": op4_line_dedup,
     "op5_simple8b_tokens": op5_simple8b_tokens,
