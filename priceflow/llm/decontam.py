@@ -32,7 +32,6 @@ from dataclasses import dataclass, field
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
 
 from priceflow.llm.text import map_batches, mix, shingle_hashes, word_runs
 
@@ -256,9 +255,9 @@ def with_hits(
     """``docs`` with ``_hits``: the items that the text holds, with start and end in words, and edits."""
     names = list(docs.columns)
     place = names.index("text")
-    out = StructType(docs.schema.fields).add("_hits", HITS)
     hit_type = pa.list_(pa.struct([(n, pa.int64()) for n in ("item_id", "start", "end", "edits")]))
     found = docs.withColumn("_hits", F.array().cast(HITS))
+    out = found.schema
     for block in item_blocks(items, edits, min_words, block_words):
         sent = docs.sparkSession.sparkContext.broadcast(block)
 

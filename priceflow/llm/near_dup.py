@@ -3,22 +3,22 @@
 Method
 1. A document's set holds the hashes of its distinct five-word shingles. Documents with equal sets form
    a class; one of them, the smallest id, stands for it from here on. Its sketch keeps the ``k``
-   smallest hashes.
-2. Inverted lists of retained values generate overlaps. Two sets of similarity ``s`` share about
-   ``s * k`` retained values, so a list is needed only for the rarest few of a sketch: whoever shares at
-   least ``c`` values shares one of the ``k - c + 1`` rarest. Values that only one class retains use up places
-   of that prefix, so documents without relatives leave here, and very common passages never make a list
-   except for documents that hold little else.
-3. Each list links its members to its smallest one (a hub), not to one another. Links pass the sketch of
-   the union (how many of its ``k`` smallest values both sets hold), then exact similarity of the full sets.
-4. What a list's hub leaves unconnected is compared as well: members of different components of one
-   list, in rounds with new hubs, then all the remaining ones. Within a component nothing is compared
-   again, so a group of near copies costs about as many comparisons as it has members.
-5. Components of the verified links.
-
-``c`` lies four standard deviations under the number of values that two sets at the threshold share,
-so a link at exactly the threshold is missed about once in 30,000, one at 0.9 practically never. Sets of
-at most ``k`` shingles are retained whole, and for them nothing is left to chance.
+   smallest hashes, or the whole set up to ``whole`` hashes. Sets of which one has up to ``whole * s`` hashes are
+   compared by whole sketches, larger ones by their ``k`` smallest, so any two similar sets are compared in one way.
+2. Inverted lists of retained values generate overlaps. Two similar sets share at least ``c`` retained
+   values, so a list is needed only for the rarest few of a sketch: whoever shares ``c`` of ``r`` values
+   shares one of the ``r - c + 1`` rarest. Values that only one class retains use up places of that prefix, so documents
+   without relatives leave here, and a very common passage makes a list only of documents that hold little else.
+3. Each list links its members to one of them (the hub), the one with the fewest rarer values, not to one another.
+4. What a list's hub leaves unconnected is compared as well, but only members of different components, and only
+   where values rarer than the list's leave room for enough overlap: pairs that share a rarer value meet in that
+   value's list. A second hub comes first, then all the remaining pairs of the list.
+5. Pairs pass the sketch of the union (how many of its ``k`` smallest values both hold), then the exact similarity
+   of the full sets. The result is the components of the links that pass.
+
+For whole sketches ``c`` and all bounds are exact. For the others ``c`` lies four standard deviations under the number of
+values that two sets at the threshold share, so a link at exactly the threshold is missed about once in
+30,000, and one at 0.9 practically never.
 
 Inputs out of the ordinary
 - Null, empty or blank text: an empty set, linked with nothing.
@@ -31,11 +31,12 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from priceflow.llm.components import connected_components
 from priceflow.llm.text import map_batches, shingle_set, word_runs
@@ -43,8 +44,8 @@ from priceflow.session import hand_off, scratch_path
 
 SHINGLE = 5
 SIMILARITY = (75, 100)
-K = 32
-HUB_ROUNDS = 2
+K = 48
+WHOLE = 170
 
 
 def retained_in_common(k: int, similarity: tuple[int, int]) -> int:
@@ -58,7 +59,7 @@ def _signed(values: np.ndarray) -> np.ndarray:
     return (values ^ np.uint64(1 << 63)).view(np.int64)
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE, k: int = K) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = SHINGLE, k: int = K, whole: int = WHOLE) -> DataFrame:
     """doc_id, n_shingles, set_key (128 bits of the whole set, null if empty) and sketch of each row."""
 
     def batch_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -68,7 +69,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, k: int = K) -> DataFra
                 found = shingle_set(words[a:b], shingle)
                 sizes.append(len(found))
                 keys.append(xxhash.xxh3_128_digest(found.tobytes()) if len(found) else None)
-                sketches.append(_signed(found[:k]))
+                sketches.append(_signed(found if len(found) <= whole else found[:k]))
         lengths = np.concatenate([[0], np.cumsum([len(x) for x in sketches])]).astype(np.int32)
         values = pa.array(np.concatenate([np.empty(0, np.int64), *sketches]))
         yield pa.record_batch(
@@ -93,49 +94,81 @@ def full_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return map_batches(docs.select("doc_id", "text"), batch_rows, "doc_id long, shingles array<long>")
 
 
-def sketch_lists(classes: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
-    """The inverted lists: value, node, n_shingles. ``classes`` has node, n_shingles and sketch."""
-    values = classes.select("node", "set_key", "n_shingles", F.explode("sketch").alias("value"))
-    shared = values.groupBy("value").agg(F.count("*").alias("holders")).where("holders > 1")
-    held = values.join(shared, "value").groupBy("node", "set_key", "n_shingles")
-    held = held.agg(F.sort_array(F.collect_list(F.struct("holders", "value"))).alias("held"))
-    retained = F.least(F.col("n_shingles"), F.lit(k))
-    common = F.when(
-        F.col("n_shingles") > k, retained_in_common(k, similarity)
-    ).otherwise(F.least(F.ceil(retained * similarity[0] / similarity[1]), F.lit(retained_in_common(k, similarity))))
-    places = retained - common + 1 - (retained - F.size("held"))
-    prefix = held.where(places > 0).select("node", "n_shingles", F.slice("held", F.lit(1), places.cast("int")).alias("held"))
-    return prefix.select("node", "n_shingles", F.explode("held").alias("entry")).select("entry.value", "node", "n_shingles")
+LIST = ["kind", "value"]
+
 
+def sketch_lists(classes: DataFrame, k: int, whole: int, similarity: tuple[int, int]) -> DataFrame:
+    """The inverted lists: kind (0 whole, 1 the k smallest), value, node, n_shingles, retained, rarer.
 
-def _similar_sizes(a: str, b: str, similarity: tuple[int, int]) -> str:
+    ``classes`` has node, set_key, n_shingles and sketch; rarer is the number of the sketch's values before this one.
+    """
     low, high = similarity
-    return f"{high} * least({a}, {b}) >= {low} * greatest({a}, {b})"
+    columns = ["node", "set_key", "n_shingles"]
+    small = classes.where(F.col("n_shingles") <= whole).select(*columns, F.lit(0).alias("kind"), F.explode("sketch").alias("value"))
+    large = classes.where(high * F.col("n_shingles") > low * whole)
+    large = large.select(*columns, F.lit(1).alias("kind"), F.explode(F.slice("sketch", 1, k)).alias("value"))
+    values = small.unionByName(large)
+    shared = values.groupBy(*LIST).agg(F.count("*").alias("holders")).where("holders > 1")
+    held = values.join(shared, LIST).groupBy(*columns, "kind")
+    held = held.agg(F.sort_array(F.collect_list(F.struct("holders", "value"))).alias("held"))
+    whole_set = F.col("kind") == 0
+    held = held.withColumn("retained", F.when(whole_set, F.col("n_shingles")).otherwise(F.least(F.col("n_shingles"), F.lit(k))).cast("int"))
+    common = F.when(whole_set, F.ceil(F.col("retained") * low / high)).otherwise(F.lit(retained_in_common(k, similarity)))
+    held = held.withColumn("alone", F.col("retained") - F.size("held"))
+    held = held.withColumn("places", (F.col("retained") - common + 1 - F.col("alone")).cast("int")).where("places > 0")
+    entries = held.select(*columns, "kind", "retained", "alone", F.posexplode(F.slice("held", F.lit(1), F.col("places"))).alias("at", "entry"))
+    return entries.select("kind", "entry.value", "node", "n_shingles", "retained", (F.col("alone") + F.col("at")).alias("rarer"))
 
 
-def hub_pairs(lists: DataFrame, turn: int, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a < b) of each list's hub with the members of other components: a, b.
+def _spare(similarity: tuple[int, int]) -> Column:
+    """How many unshared values a shared one makes up for: exact for whole sketches, generous for others.
 
-    ``lists`` has value, node, n_shingles and component. The hub is the smallest node in the first turn
-    and one picked by hash, outside the component of the smallest, in the later ones.
+    Sketches of different reach look less alike than their sets, and vary: half the similarity covers both.
     """
-    order = F.col("node") if turn == 0 else F.xxhash64("node", F.lit(turn))
-    hubs = lists
-    if turn:
-        least = lists.groupBy("value").agg(F.min("component").alias("least"))
-        hubs = lists.join(least, "value").where("component <> least").drop("least")
-    hubs = hubs.groupBy("value").agg(F.min_by(F.struct("node", "n_shingles", "component"), order).alias("hub"))
-    pairs = lists.join(hubs, "value").where("component <> hub.component")
-    pairs = pairs.where(_similar_sizes("n_shingles", "hub.n_shingles", similarity))
-    return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    low, high = similarity
+    return F.when(F.col("kind") == 0, high / low - 1).otherwise(2 * high / low - 1)
+
+
+def _may_link(similarity: tuple[int, int]) -> Column:
+    """Whether two members of a list, the second one in ``other``, can be similar without sharing a rarer value."""
+    low, high = similarity
+    n, m = F.col("n_shingles"), F.col("other.n_shingles")
+    overlap = F.least(F.col("retained") - F.col("rarer"), F.col("other.retained") - F.col("other.rarer"))
+    unshared = F.col("rarer") + F.col("other.rarer")
+    return (high * F.least(n, m) >= low * F.greatest(n, m)) & (unshared <= _spare(similarity) * overlap + 1e-9)
+
+
+_MEMBER = ["node", "component", "n_shingles", "retained", "rarer"]
+
+
+def _pairs(joined: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    apart = joined.where(F.col("component") != F.col("other.component")).where(_may_link(similarity))
+    return apart.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
+
+
+def hub_pairs(lists: DataFrame, similarity: tuple[int, int], second: bool = False) -> DataFrame:
+    """Pairs (a < b) of each list's hub with the members of other components: a, b. The second hub is of another component."""
+    order = F.struct(*([-F.col("component")] if second else []), "rarer", "n_shingles", "node")
+    hubs = lists.groupBy(*LIST).agg(F.min_by(F.struct(*_MEMBER), order).alias("other"))
+    return _pairs(lists.join(hubs, LIST), similarity)
 
 
 def remaining_pairs(lists: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """Pairs (a < b) of one list and different components: a, b."""
-    other = lists.select("value", F.col("node").alias("b"), F.col("n_shingles").alias("n_b"), F.col("component").alias("c_b"))
-    pairs = lists.join(other, "value").where("node < b AND component <> c_b")
-    pairs = pairs.where(_similar_sizes("n_shingles", "n_b", similarity))
-    return pairs.select(F.col("node").alias("a"), "b").distinct()
+    others = lists.select(*LIST, F.struct(*_MEMBER).alias("other"))
+    return _pairs(lists.join(others, LIST).where("node < other.node"), similarity)
+
+
+def open_lists(lists: DataFrame, components: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Members of lists, with their component, that can be similar to a member of another component."""
+    known = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    by_component = known.groupBy(*LIST, "component").agg(F.min("rarer").alias("least"))
+    first = by_component.groupBy(*LIST).agg(F.min(F.struct("least", "component")).alias("first"), F.count("*").alias("n")).where("n > 1")
+    second = by_component.join(first, LIST).where("component <> first.component")
+    second = second.groupBy(*LIST, "first").agg(F.min("least").alias("second"))
+    other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.least"))
+    room = _spare(similarity) * (F.col("retained") - F.col("rarer")) - F.col("rarer") + 1e-9
+    return known.join(second, LIST).where(other <= room).select(*LIST, *_MEMBER)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
@@ -144,6 +177,8 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, simi
     sides = [classes.select(F.col("node").alias(s), F.col("sketch").alias(f"s_{s}")) for s in "ab"]
     near = pairs.join(sides[0], "a").join(sides[1], "b")
     # Both sketches together hold the union's k smallest values; those in both sets are in both sketches.
+    for side in ("s_a", "s_b"):
+        near = near.withColumn(side, F.slice(side, 1, k))
     union = F.slice(F.sort_array(F.array_union("s_a", "s_b")), 1, k)
     near = near.withColumn("union", union).withColumn("both", F.array_intersect("s_a", "s_b"))
     least = F.least(F.lit(retained_in_common(k, similarity)), F.ceil(F.size("union") * low / high))
@@ -155,15 +190,8 @@ def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, simi
     return full.select(F.col("a").alias("u"), F.col("b").alias("v")).distinct()
 
 
-def _with_components(lists: DataFrame, components: DataFrame) -> DataFrame:
-    """The lists that still have members of different components, with the component of each."""
-    known = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_lists = known.groupBy("value").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    return known.join(open_lists.where("low < high").select("value"), "value")
-
-
 def near_duplicates(
-    docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY, k: int = K
+    docs: DataFrame, shingle: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY, k: int = K, whole: int = WHOLE
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id, component_id, kept.
 
@@ -174,14 +202,14 @@ def near_duplicates(
     def keep(df: DataFrame, name: str) -> DataFrame:
         return hand_off(df, scratch_path(spark, f"near-{name}"))
 
-    prints = keep(fingerprints(docs, shingle, k), "fingerprints")
+    prints = keep(fingerprints(docs, shingle, k, whole), "fingerprints")
     usable = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
     first = usable.groupBy("set_key").agg(F.min("doc_id").alias("node"))
     members = usable.join(first, "set_key")
     classes = members.where("doc_id = node").dropDuplicates(["set_key"])
     classes = keep(classes.select("node", "set_key", "n_shingles", "sketch"), "classes")
-    lists = keep(sketch_lists(classes, k, similarity), "lists")
-    nodes = lists.join(lists.groupBy("value").agg(F.count("*").alias("n")).where("n > 1"), "value").select("node").distinct()
+    lists = keep(sketch_lists(classes, k, whole, similarity), "lists")
+    nodes = lists.join(lists.groupBy(*LIST).agg(F.count("*").alias("n")).where("n > 1"), LIST).select("node").distinct()
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sets = keep(full_sets(wanted.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), shingle), "sets")
 
@@ -189,15 +217,16 @@ def near_duplicates(
     ranges = members.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("high")).where("u < high")
     edges = keep(members.join(ranges, "doc_id").select("u", F.col("node").alias("v")).distinct(), "shared-ids")
 
-    components = None
-    for turn in range(HUB_ROUNDS + 2):
-        known = lists.withColumn("component", F.col("node")) if components is None else _with_components(lists, components)
-        known = known if components is None else keep(known, "open-lists")
-        if components is not None and known.isEmpty():
+    def confirmed(pairs: DataFrame) -> DataFrame:
+        return keep(verified(pairs, classes, sets, k, similarity), "links")
+
+    edges = edges.unionByName(confirmed(hub_pairs(lists.withColumn("component", F.col("node")), similarity)))
+    components = connected_components(edges)
+    for pairs in (partial(hub_pairs, second=True), remaining_pairs):
+        left = keep(open_lists(lists, components, similarity), "open-lists")
+        if not left.count():
             break
-        pairs = hub_pairs(known, turn, similarity) if turn <= HUB_ROUNDS else remaining_pairs(known, similarity)
-        found = keep(verified(pairs, classes, sets, k, similarity), "links")
-        edges = edges.unionByName(found)
+        edges = edges.unionByName(confirmed(pairs(left, similarity)))
         components = connected_components(edges)
 
     own = prints.select("doc_id", "n_shingles", "set_key").join(first.withColumnRenamed("node", "class_id"), "set_key", "left")

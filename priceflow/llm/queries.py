@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, divergence, line_dedup, near_dup, packing, quality_bayes, simple8b, warc
+from priceflow.llm import decontam, divergence, line_dedup, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -50,6 +50,14 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.op8_packing(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.op9_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.op10_personal_data(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_divergence_rules": op2_divergence_rules,
@@ -59,4 +67,6 @@ QUERIES: dict[str, Query] = {
     "op6_warc_normaliser": op6_warc_normaliser,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_best_fit_packing": op8_best_fit_packing,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_personal_data": op10_personal_data,
 }
