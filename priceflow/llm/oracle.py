@@ -2,4 +2,92 @@
 
 from __future__ import annotations
 
-SQL: dict[str, str] = {}
+from priceflow.llm import divergence as d
+
+WHITE = r"[\x20\x09-\x0D]"
+
+LINE_DEDUP = rf"""
+WITH docs AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+lines AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM docs),
+keyed AS (
+  SELECT *, translate(regexp_replace(regexp_replace(line, '^{WHITE}+', ''), '{WHITE}+$', ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+shared AS (
+  SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10 GROUP BY key HAVING count(DISTINCT doc_id) >= 2),
+judged AS (SELECT k.*, s.first_id IS NOT NULL AND k.doc_id <> s.first_id AS dropped FROM keyed k LEFT JOIN shared s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+"""
+
+ARCHIVES = """
+WITH payloads AS (SELECT page_id, encode(coalesce(html, '')) AS payload FROM pages),
+hashed AS (SELECT page_id, octet_length(payload) AS n, sha1(payload) AS hex FROM payloads),
+digests AS (
+  SELECT *, list_reduce(list_transform(range(8), lambda i: list_reduce(list_transform([15, 10, 5, 0], lambda s:
+    substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(hex, 5 * i + 1, 5))::BIGINT >> s) & 31)::BIGINT + 1, 1)),
+    lambda a, b: a || b)), lambda a, b: a || b) AS digest FROM hashed),
+last AS (SELECT hex, max(page_id) AS last_id FROM hashed GROUP BY hex)
+SELECT page_id, n::BIGINT AS payload_bytes, digest AS payload_digest,
+  CASE WHEN page_id = last_id THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> last_id THEN last_id END AS refers_to
+FROM digests JOIN last USING (hex)
+"""
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+def _divergence() -> str:
+    classes = ", ".join(f"length(text) - length(regexp_replace(text, {_quoted(kind + '+')}, '', 'g'))" for kind in d.CLASSES)
+    listed = " ".join(f"WHEN {_quoted(lang)} THEN {words!r}" for lang, words in d.COMMON_WORDS.items())
+    most = max(map(len, d.COMMON_WORDS.values()))
+
+    def sums(name: str, n: int) -> str:
+        return "[" + ", ".join(f"sum(coalesce({name}[{i + 1}], 0))::DOUBLE" for i in range(n)) + "]"
+
+    def distance(p: str, q: str) -> str:
+        a, b = f"(coalesce({p}[i], 0) / list_sum({p}))", f"(coalesce({q}[i], 0) / list_sum({q}))"
+        part = "CASE WHEN {0} > 0 THEN {0} * log2({0} / (({1} + {2}) / 2)) ELSE 0 END"
+        terms = f"({part.format(a, a, b)} + {part.format(b, a, b)}) / 2"
+        return f"sqrt(greatest(0, list_sum(list_transform(range(1, greatest(len({p}), len({q})) + 1), lambda i: {terms}))))"
+
+    return rf"""
+WITH docs AS (SELECT row_number() OVER () AS id, doc_id, lang, coalesce(text, '') AS text FROM documents),
+worded AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+  list_filter(string_split(text, chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS lines FROM docs),
+windows AS (SELECT id, unnest(range(1, len(words) - 1)) AS pos, words FROM worded WHERE len(words) >= 3),
+keyed AS (SELECT id, pos, words[pos] || ' ' || words[pos + 1] || ' ' || words[pos + 2] AS key FROM windows),
+often AS (SELECT id, key FROM keyed GROUP BY id, key HAVING count(*) > 1),
+repeated AS (SELECT id, count(DISTINCT pos + step) AS n FROM keyed JOIN often USING (id, key), (SELECT unnest([0, 1, 2]) AS step) GROUP BY id),
+counted AS (
+  SELECT id, doc_id, lang, text, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(text) - length(regexp_replace(text, '[#*$%&|<>]+', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM worded LEFT JOIN repeated USING (id)),
+failed AS (SELECT *, n_words < {d.BASE_WORDS} OR 100 * n_repeat_words > {d.BASE_REPEATED_PERCENT} * n_words AS base_failed,
+  [{classes}] AS c, '  ' || regexp_replace(lower(text), '[^\p{{L}}]+', '  ', 'g') || '  ' AS spaced,
+  CASE lang {listed} ELSE []::VARCHAR[] END AS listed FROM counted),
+common AS (SELECT *, list_transform(listed, lambda w:
+  (length(spaced) - length(replace(spaced, ' ' || w || ' ', ''))) // (length(w) + 2)) AS w FROM failed),
+bins AS (SELECT *, list_append(c, greatest(0, length(text) - list_sum(c)))::DOUBLE[] AS classes,
+  list_append(w, greatest(0, n_words - coalesce(list_sum(w), 0)))::DOUBLE[] AS common FROM common),
+sums AS (SELECT lang, {sums('classes', len(d.CLASSES) + 1)} AS class_reference, {sums('common', most + 1)} AS common_reference
+  FROM bins WHERE NOT base_failed GROUP BY lang),
+measured AS (SELECT b.*,
+  CASE WHEN length(text) >= {d.MIN_CHARS} THEN {distance('classes', 'class_reference')} END AS class_distance,
+  CASE WHEN n_words >= {d.MIN_WORDS} AND len(common) > 1 THEN {distance('common', 'common_reference')} END AS word_distance
+  FROM bins b LEFT JOIN sums s ON b.lang IS NOT DISTINCT FROM s.lang)
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
+  n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed,
+  NOT base_failed AND coalesce(class_distance, 0) <= {d.CLASS_LIMIT} AND coalesce(word_distance, 0) <= {d.WORD_LIMIT} AS kept
+FROM measured
+"""
+
+
+SQL: dict[str, str] = {
+    "op2_divergence_rules": _divergence(),
+    "op4_line_dedup": LINE_DEDUP,
+    "op6_warc_normaliser": ARCHIVES,
+}
