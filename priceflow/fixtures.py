@@ -15,7 +15,7 @@ from priceflow.operators.strict import clean_strict
 from priceflow.plans.pipeline import run_pipeline, store_cleaned
 from priceflow.schemas import RAW
 from priceflow.session import path_exists, shared_dir
-from priceflow.sources.prices import read_raw, scan_named, type_columns, write_csv
+from priceflow.sources.prices import WIDE, read_raw, scan_named, type_columns, write_csv
 from priceflow.sources.warehouse import Warehouse
 
 # The unit of sale by part size; the last one is in no conversion table.
@@ -125,7 +125,7 @@ class Inputs:
         path, made = self._made("extracted")
         if not made:
             source = scan_named(self.spark, self.csv(), row_seq=True)
-            typed = type_columns(source, price=(12, 4), date_formats=None)
+            typed = type_columns(source, price=WIDE, date_formats=None, coordinate=WIDE)
             typed.write.mode("overwrite").parquet(path)
         return self._read(path)
 

@@ -6,17 +6,20 @@ from pyspark.sql import Column, functions as F
 
 # Accepted spellings of a date: what the text looks like, and the pattern that reads it. The check
 # first keeps the parser from raising and catching an exception on every row of the other spelling.
+# A time of day may follow, and is dropped.
+_TIME = r"([ T]\d{1,2}:\d{2}(:\d{2}(\.\d+)?)?Z?)?$"
 DATE_FORMATS = {
-    "iso": (r"^\d{4}-\d{1,2}-\d{1,2}$", "yyyy-M-d"),
-    "dmy": (r"^\d{1,2}/\d{1,2}/\d{4}$", "d/M/yyyy"),
+    "iso": (r"^\d{4}-\d{1,2}-\d{1,2}" + _TIME, "yyyy-M-d"),
+    "dmy": (r"^\d{1,2}/\d{1,2}/\d{4}" + _TIME, "d/M/yyyy"),
 }
 
 
 def parse_date(text: Column, formats: Sequence[str] = ("iso", "dmy")) -> Column:
     """The date, or null when ``text`` is a date in none of ``formats``."""
+    day = F.substring_index(F.substring_index(text, "T", 1), " ", 1)
     return F.coalesce(
         *[
-            F.when(text.rlike(shape), F.try_to_date(text, pattern))
+            F.when(text.rlike(shape), F.try_to_date(day, pattern))
             for shape, pattern in (DATE_FORMATS[name] for name in formats)
         ]
     )

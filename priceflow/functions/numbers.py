@@ -10,7 +10,7 @@ def to_decimal(text: Column, precision: int, scale: int) -> Column:
 
 def to_int(text: Column) -> Column:
     """Null when the text is not a whole number; ``1854.0`` is one."""
-    number = to_decimal(text, 20, 4)
+    number = to_decimal(text, 38, 18)
     return F.when(number == F.floor(number), number.try_cast("int"))
 
 

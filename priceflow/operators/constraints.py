@@ -60,12 +60,7 @@ def column_constraints(df: DataFrame, schema: T.StructType) -> DataFrame:
 
     Numbers are checked for whether they fit the declared type, so hand in text or wider types.
     """
-    rules = [
-        (field.name, rule, broken)
-        for field in schema.fields
-        if field.name in df.columns
-        for rule, broken in _rules(field)
-    ]
+    rules = declared_rules(schema, df.columns)
     counts = df.agg(*[F.count_if(broken).alias(f"{name}.{rule}") for name, rule, broken in rules])
     rows = [
         F.struct(
@@ -78,6 +73,12 @@ def column_constraints(df: DataFrame, schema: T.StructType) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
+def declared_rules(schema: T.StructType, columns: Sequence[str]) -> list[tuple[str, str, Column]]:
+    """(column, rule, whether a row breaks it) for those of ``columns`` that the schema declares."""
+    fields = [field for field in schema.fields if field.name in columns]
+    return [(field.name, rule, broken) for field in fields for rule, broken in _rules(field)]
+
+
 def _rules(field: T.StructField) -> list[tuple[str, Column]]:
     value = F.col(field.name)
     rules = []

@@ -35,7 +35,7 @@ def fill_places(df: DataFrame) -> DataFrame:
 
 
 def drop_unpriced(df: DataFrame) -> DataFrame:
-    return df.na.drop(subset=["price", "usd_price"])
+    return df.where("price IS NOT NULL AND usd_price IS NOT NULL")
 
 
 def handle_missing(df: DataFrame, work_dir: str) -> DataFrame:

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -16,7 +16,7 @@ from priceflow.schemas import RAW, STRICT_RENAMES, text_columns
 def clean_strict(raw: DataFrame) -> DataFrame:
     """Raw table to cleaned table. Copies collapse in the map tasks before they are shuffled, so a
     large group of equal rows costs no more than any other."""
-    return raw.select(*RAW.names).na.drop("any").withColumnsRenamed(STRICT_RENAMES).distinct()
+    return complete_rows(raw.select(*RAW.names)).withColumnsRenamed(STRICT_RENAMES).distinct()
 
 
 def clean_strict_typed(text: DataFrame) -> DataFrame:
@@ -25,11 +25,14 @@ def clean_strict_typed(text: DataFrame) -> DataFrame:
     columns |= {c: to_int(F.col(c)) for c in ("market_id", "commodity_id")}
     columns |= {c: to_double(F.col(c)) for c in ("latitude", "longitude", "price", "usdprice")}
     columns |= {c: F.nullif(strip(F.col(c)), F.lit("nan")) for c in text_columns(RAW)}
-    typed = text.select(*[columns[c].alias(c) for c in RAW.names], F.spark_partition_id().alias("_task"))
-    # Catalyst would move the null filter below the conversions by copying them into it, and convert
-    # every value twice. It does not move a filter that also looks at the task number.
-    complete = typed.na.drop("any").where("_task >= 0").drop("_task")
-    return complete.distinct().withColumnsRenamed(STRICT_RENAMES)
+    typed = text.select(*[columns[c].alias(c) for c in RAW.names])
+    # Equal rows fold first: the null filter then sees values that are converted once.
+    return complete_rows(typed.distinct()).withColumnsRenamed(STRICT_RENAMES)
+
+
+def complete_rows(df: DataFrame) -> DataFrame:
+    """Rows without a null, as a conjunction that a Parquet scan can use to skip row groups."""
+    return df.where(reduce(and_, [F.col(c).isNotNull() for c in df.columns]))
 
 
 def null_profile(df: DataFrame) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 from uuid import uuid4
@@ -10,14 +11,15 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from priceflow import schemas
 from priceflow.operators import dimensions
-from priceflow.operators.constraints import required
+from priceflow.operators.constraints import declared_rules, required
+from priceflow.session import hand_off
 from priceflow.sources.warehouse import DIMENSIONS, TABLES, Warehouse
 
 COUNTED = ("staging", "dim_date", "dim_commodity", "dim_market", "fact_prices", "rejected")
 
 
 class ConstraintViolation(Exception):
-    """Rows lack a value that a table requires."""
+    """Rows break a constraint that a table declares."""
 
 
 def load_star(
@@ -32,7 +34,7 @@ def load_star(
     holds, also where the key was there before.
 
     ``cleaned`` is read several times and should be a stored table. ``on_violation="fail"`` stops when
-    a row lacks a required value; ``"reject"`` keeps such rows in the table ``rejected`` instead.
+    a row breaks a declared constraint; ``"reject"`` keeps such rows, with the rules, in the table ``rejected`` instead.
     A ``load_id`` that is already published is not loaded again.
     """
     spark = warehouse.spark
@@ -41,28 +43,43 @@ def load_star(
         if done.load_id == load_id:
             return {table: done[table] for table in COUNTED}
 
-    broken = violates_required()
-    rejected = cleaned.where(broken)
-    if on_violation == "reject":
-        rejected_rows = _store(rejected, warehouse.path("rejected", load_id)).count()
-        cleaned = cleaned.where(~broken)
-    else:
-        rejected_rows = 0
-        failing = rejected.count()
-        if failing:
-            raise ConstraintViolation(f"{failing} rows lack a required value")
+    def set_apart(rows: DataFrame, part: str) -> int:
+        return _store(rows, f"{warehouse.path('rejected', load_id)}/part={part}").count()
+
+    broken = broken_rules(cleaned.columns)
+    counted = cleaned.agg(*[F.count_if(rule).alias(name) for name, rule in broken.items()]).first().asDict()
+    failing = {name: n for name, n in counted.items() if n}
+    rejected_rows = 0
+    if failing and on_violation != "reject":
+        raise ConstraintViolation("rows break declared constraints: " + _listed(failing))
+    if failing:
+        names = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in broken.items()]))
+        rejected = cleaned.withColumn("broken", names).where(F.size("broken") > 0)
+        rejected_rows += set_apart(rejected, "rows")
+        cleaned = cleaned.where(~reduce(or_, broken.values()))
 
     candidates = {
-        "dim_date": dimensions.date_dimension(cleaned),
-        "dim_commodity": dimensions.commodity_dimension(cleaned, work_dir),
-        "dim_market": dimensions.market_dimension(cleaned, work_dir),
+        "dim_date": dimensions.date_dimension,
+        "dim_commodity": lambda rows: dimensions.commodity_dimension(rows, work_dir),
+        "dim_market": lambda rows: dimensions.market_dimension(rows, work_dir),
     }
     counts = {}
     for table, key in DIMENSIONS.items():
-        batch = _store(candidates[table], f"{work_dir}/{table}")
+        batch = _store(candidates[table](cleaned), f"{work_dir}/{table}")
         new = dimensions.insert_if_absent(warehouse.read(table), batch, key)
+        # The first row of a key gives its attributes. A new key whose first row lacks one can't be loaded.
+        lacking = reduce(or_, [F.col(c).isNull() for c in required(TABLES[table])])
+        n_lacking = new.where(lacking).count() if table != "dim_date" else 0
+        if n_lacking and on_violation != "reject":
+            raise ConstraintViolation(f"{n_lacking} new keys of {table} lack a required attribute in their first row")
+        if n_lacking:
+            keys = hand_off(new.where(lacking).select(key), f"{work_dir}/{table}-lacking")
+            lost = cleaned.join(keys, key, "left_semi").withColumn("broken", F.array(F.lit(f"{table}.attributes")))
+            rejected_rows += set_apart(lost, table)
+            cleaned = cleaned.join(keys, key, "left_anti")
+            new = new.where(~lacking)
         _store(conform(new, TABLES[table]), warehouse.path(table, load_id))
-        counts[table] = batch.count()
+        counts[table] = batch.count() - n_lacking
 
     current = [] if full_reload else warehouse.current_loads()
     facts = _store_by_year(
@@ -95,10 +112,26 @@ def load_star(
     return {table: counts[table] for table in COUNTED}
 
 
+#: What every row needs: the keys of the fact table, and the date of the staging table.
+ROW_KEYS = ("date", "commodity_id", "market_id")
+
+
+def broken_rules(columns: Sequence[str]) -> dict[str, Column]:
+    """Whether a cleaned row breaks a rule of the staging or fact table, by "column.rule".
+
+    Dimension attributes may be missing in a row: a key takes them from its first row.
+    """
+    rules = {f"{name}.{rule}": broken for name, rule, broken in declared_rules(schemas.STAGING, columns)}
+    return {f"{c}.not_null": F.col(c).isNull() for c in ROW_KEYS} | rules
+
+
 def violates_required() -> Column:
-    """Whether a cleaned row lacks a value that one of the tables it goes to requires."""
-    needed = {"date", *required(schemas.DIM_COMMODITY), *required(schemas.DIM_MARKET)}
-    return reduce(or_, [F.col(c).isNull() for c in sorted(needed)])
+    """Whether a cleaned row lacks a key that the fact table requires."""
+    return reduce(or_, [F.col(c).isNull() for c in ROW_KEYS])
+
+
+def _listed(failing: dict[str, int]) -> str:
+    return ", ".join(f"{name} ({n} rows)" for name, n in sorted(failing.items()))
 
 
 def fact_rows(cleaned: DataFrame) -> DataFrame:

@@ -13,7 +13,7 @@ from priceflow.operators.enrich import clean
 from priceflow.operators.quality import QualityCheckError, apply_gate, quality_report
 from priceflow.plans.load import load_star
 from priceflow.session import hand_off, remove_path
-from priceflow.sources.prices import first_readable, type_columns
+from priceflow.sources.prices import WIDE, open_first, type_columns, unread_counts
 from priceflow.sources.warehouse import Warehouse
 
 
@@ -54,6 +54,9 @@ def run_pipeline(
 ) -> dict:
     """One batch into the warehouse at ``root``, from the first of ``sources`` that can be read.
 
+    The summary names the source, the sources that failed before it, and how many texts of each column
+    could not be read as numbers.
+
     Rows dated at or before the last load are dropped, also when they are new: the mark is a date.
     ``gate="critical"`` ends the run on an empty batch only, with a status; ``"strict"`` raises when
     any check fails.
@@ -64,10 +67,13 @@ def run_pipeline(
     summary = {"status": "started", "load_id": load_id}
     try:
         mark = warehouse.high_water_mark() if incremental and not full_reload else None
-        source = first_readable(spark, sources, row_seq=True)
-        typed = type_columns(source, price=(12, 4), date_formats=None)
+        source = open_first(spark, sources, row_seq=True)
+        summary |= {"source": source.path, "source_failures": list(source.failures)}
+        typed = type_columns(source.rows, price=WIDE, date_formats=None, coordinate=WIDE, unread="unread")
         raw = hand_off(incremental_filter(typed, mark, date_formats), f"{work_dir}/raw")
         summary["rows_extracted"] = raw.count()
+        summary["unread"] = {r["column_name"]: r["rows"] for r in unread_counts(raw, "unread").collect()}
+        raw = raw.drop("unread")
         if not summary["rows_extracted"]:
             return summary | {"status": "no_new_data"}
 

@@ -33,19 +33,25 @@ def _avg_of_parts(measure: str, digits: int) -> Column:
 def monthly_avg_price(
     fact: DataFrame, dim_date: DataFrame, dim_commodity: DataFrame, dim_market: DataFrame
 ) -> DataFrame:
-    """Joins first: a county has many markets, so grouping by county folds further than by market id."""
+    """Folded by the three ids first, so that joins move sums, and again by their attributes."""
+    ids = fact.groupBy("date_id", "commodity_id", "market_id").agg(
+        *_parts("price", "usd_price", "price_per_kg"),
+        F.count("*").alias("rows"),
+        F.min("price").alias("lowest"),
+        F.max("price").alias("highest"),
+    )
     return (
-        fact.join(dim_date.select("date_id", "year", "month"), "date_id")
+        ids.join(dim_date.select("date_id", "year", "month"), "date_id")
         .join(dim_commodity.select("commodity_id", "commodity", "category"), "commodity_id")
         .join(dim_market.select("market_id", "county"), "market_id")
         .groupBy("year", "month", month_start(F.col("date_id")).alias("price_month"), "county", "commodity", "category")
         .agg(
-            F.count("*").alias("observation_count"),
-            exact_avg(F.col("price"), 2).alias("avg_price_kes"),
-            exact_avg(F.col("usd_price"), 4).alias("avg_usd_price"),
-            exact_avg(F.col("price_per_kg"), 2).alias("avg_price_per_kg"),
-            F.round(F.min("price"), 2).alias("min_price"),
-            F.round(F.max("price"), 2).alias("max_price"),
+            F.sum("rows").alias("observation_count"),
+            _avg_of_parts("price", 2).alias("avg_price_kes"),
+            _avg_of_parts("usd_price", 4).alias("avg_usd_price"),
+            _avg_of_parts("price_per_kg", 2).alias("avg_price_per_kg"),
+            F.round(F.min("lowest"), 2).alias("min_price"),
+            F.round(F.max("highest"), 2).alias("max_price"),
         )
         .orderBy(F.desc_nulls_first("price_month"), F.asc_nulls_last("county"), F.asc_nulls_last("commodity"))
     )
@@ -76,32 +82,58 @@ def price_trends(fact: DataFrame, dim_date: DataFrame, dim_commodity: DataFrame)
 
 
 def commodity_summary(fact: DataFrame, dim_commodity: DataFrame) -> DataFrame:
-    """Per commodity, category and unit. Joins first: the deviations of several ids do not add up."""
+    """Per commodity, category and unit. Counts, sums and sums of squares add up, exactly, as decimals."""
     usd = F.col("usd_price")
+    ids = fact.groupBy("commodity_id").agg(
+        *_parts("price", "usd_price"),
+        F.sum((usd * usd).cast("decimal(28,8)")).alias("usd_price_squares"),
+        F.count("*").alias("rows"),
+        F.min(usd).alias("lowest"),
+        F.max(usd).alias("highest"),
+        F.min("date_id").alias("first_date"),
+        F.max("date_id").alias("last_date"),
+    )
     return (
-        fact.join(dim_commodity.select("commodity_id", "commodity", "category", "unit"), "commodity_id")
+        ids.join(dim_commodity.select("commodity_id", "commodity", "category", "unit"), "commodity_id")
         .groupBy("commodity", "category", "unit")
         .agg(
-            F.count("*").alias("total_observations"),
-            exact_avg(F.col("price"), 2).alias("avg_price_kes"),
-            exact_avg(usd, 4).alias("avg_usd_price"),
-            F.round(F.stddev_samp(usd.cast("double")), 4).alias("stddev_usd_price"),
-            F.min(usd).alias("min_usd_price"),
-            F.max(usd).alias("max_usd_price"),
-            F.min("date_id").alias("first_observed"),
-            F.max("date_id").alias("last_observed"),
+            F.sum("rows").alias("total_observations"),
+            _avg_of_parts("price", 2).alias("avg_price_kes"),
+            _avg_of_parts("usd_price", 4).alias("avg_usd_price"),
+            F.round(_deviation_of_parts("usd_price"), 4).alias("stddev_usd_price"),
+            F.min("lowest").alias("min_usd_price"),
+            F.max("highest").alias("max_usd_price"),
+            F.min("first_date").alias("first_observed"),
+            F.max("last_date").alias("last_observed"),
         )
         .orderBy(F.desc_nulls_first("avg_usd_price"))
     )
 
 
+def _deviation_of_parts(measure: str) -> Column:
+    """The sample deviation, from exact sums: it does not depend on how the rows are split.
+
+    The sum of squared distances to the mean is n times the squares minus the square of the sum, over n. Both
+    terms are exact up to 38 digits, that is for a billion rows of prices below a million.
+    """
+    n = F.sum(f"{measure}_count")
+    total = F.sum(f"{measure}_sum").cast("decimal(19,4)")
+    squares = F.sum(f"{measure}_squares").cast("decimal(28,8)")
+    distances = (squares * n.cast("decimal(10,0)")).cast("decimal(38,8)") - (total * total).cast("decimal(38,8)")
+    variance = distances.cast("double") / (n.cast("double") * (n - 1).cast("double"))
+    return F.when(n > 1, F.sqrt(variance))
+
+
 def panel_monthly_retail_trend(
-    staging: DataFrame, commodity: str = "%Maize%", price_type: str = "Retail"
+    staging: DataFrame,
+    commodity: str = "%Maize%",
+    price_type: str = "Retail",
+    label: str = "Avg Maize Price (KES)",
 ) -> DataFrame:
     return (
         staging.where(F.col("commodity").ilike(commodity) & (F.col("price_type") == price_type))
         .groupBy(month_start(F.col("date")).alias("time"))
-        .agg(exact_avg(F.col("price"), 2).alias("Avg Maize Price (KES)"))
+        .agg(exact_avg(F.col("price"), 2).alias(label))
         .orderBy(F.asc_nulls_last("time"))
     )
 

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import AnalysisException, IllegalArgumentException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from priceflow.functions.dates import parse_date
@@ -18,9 +21,18 @@ _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 ROW_SEQ = "row_seq"
 
 
-def scan_text(spark: SparkSession, path: str | list[str], row_seq: bool = False) -> DataFrame:
-    """The 16 columns by position, as text; an empty field is null. The header line is skipped."""
-    lines = spark.read.schema(_TEXT_SCHEMA).options(**_CSV).csv(path)
+# Wide enough for any price or coordinate that a source may hold; declared widths are checked at the load.
+WIDE = (28, 10)
+
+
+def scan_text(
+    spark: SparkSession, path: str | list[str], row_seq: bool = False, multi_line: bool = False
+) -> DataFrame:
+    """The 16 columns by position, as text; an empty field is null. The header line is skipped.
+
+    ``multi_line`` reads line breaks inside quotes; a file is then one task and can't be split.
+    """
+    lines = spark.read.schema(_TEXT_SCHEMA).options(**_CSV, multiLine=multi_line).csv(path)
     fields = [F.nullif(F.col(c), F.lit("")).alias(c) for c in _TEXT_SCHEMA.names]
     return lines.select(*fields, *_row_seq(row_seq))
 
@@ -30,13 +42,31 @@ def scan_named(
     path: str | list[str],
     missing: Sequence[str] = MISSING_TOKENS,
     row_seq: bool = False,
+    multi_line: bool = False,
 ) -> DataFrame:
-    """The columns that the header names, as text; every spelling in ``missing`` is null."""
-    lines = spark.read.options(**_CSV).csv(path)
+    """The columns that the header names, as text; every spelling in ``missing`` is null.
+
+    All files of ``path`` must have the same header; one that differs fails the query that reads it.
+    ``multi_line`` reads line breaks inside quotes; a file is then one task and can't be split.
+    """
+    lines = spark.read.options(**_CSV, multiLine=multi_line, enforceSchema=False).csv(path)
     fields = [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in lines.columns]
     return lines.select(*fields, *_row_seq(row_seq))
 
 
+def ragged_rows(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
+    """Rows of (file, ragged): how many records of each file have more or fewer fields than its header.
+
+    An open quote, as a line break inside quotes leaves it without ``multi_line``, counts as well.
+    """
+    columns = spark.read.options(**_CSV, multiLine=multi_line).csv(path).columns
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_ragged"]])
+    options = _CSV | {"multiLine": multi_line, "columnNameOfCorruptRecord": "_ragged"}
+    lines = spark.read.schema(schema).options(**options).csv(path)
+    flagged = lines.select("_ragged", F.col(f"`{columns[0]}`"), F.col("_metadata.file_path").alias("file"))
+    return flagged.groupBy("file").agg(F.count("_ragged").alias("ragged"))
+
+
 def _row_seq(wanted: bool) -> list:
     """Where a row stood in the source: file, start of the split, then place within the split.
 
@@ -57,10 +87,13 @@ def type_columns(
     df: DataFrame,
     price: tuple[int, int] = (8, 2),
     date_formats: Sequence[str] | None = ("iso", "dmy"),
+    coordinate: tuple[int, int] = (8, 4),
+    unread: str | None = None,
 ) -> DataFrame:
-    """Text to the declared types; what does not convert becomes null and the row stays.
+    """Text to the given types; what does not convert becomes null and the row stays.
 
-    ``date_formats=None`` leaves the date as text, for pipelines that parse it later.
+    ``date_formats=None`` leaves the date as text, for pipelines that parse it later. ``unread`` names a
+    column to add: a map from the columns of the row that have text but no value to that text, null if all have one.
     """
     typed = {}
     for field in RAW.fields:
@@ -72,33 +105,77 @@ def type_columns(
         elif field.name in ("price", "usdprice"):
             typed[field.name] = to_decimal(column, *price)
         elif isinstance(field.dataType, T.DecimalType):
-            typed[field.name] = to_decimal(column, 8, 4)
+            typed[field.name] = to_decimal(column, *coordinate)
         elif field.name == "date" and date_formats is not None:
             typed[field.name] = parse_date(column, date_formats)
+    if unread:
+        lost = [F.when(F.col(c).isNotNull() & value.isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("text"))) for c, value in typed.items()]
+        entries = F.array_compact(F.array(*lost))
+        typed[unread] = F.when(F.size(entries) > 0, F.map_from_entries(entries))
     return df.withColumns(typed)
 
 
+def unread_counts(typed: DataFrame, unread: str) -> DataFrame:
+    """Rows of (column_name, rows): how many texts of each column did not convert."""
+    return typed.select(F.explode(unread).alias("column_name", "text")).groupBy("column_name").agg(F.count("*").alias("rows"))
+
+
 def read_raw(spark: SparkSession, path: str, date_formats: Sequence[str] = ("dmy",)) -> DataFrame:
     """Scan by position and type: the rows of the raw table."""
     return type_columns(scan_text(spark, path), date_formats=date_formats)
 
 
-def first_readable(
+@dataclass(frozen=True)
+class Source:
+    """An opened source: its rows, where they come from, and what was tried before."""
+
+    rows: DataFrame
+    path: str
+    failures: tuple[str, ...]
+
+
+def open_first(
     spark: SparkSession,
     paths: Sequence[str],
     scan: Callable[..., DataFrame] = scan_named,
     **options,
-) -> DataFrame:
-    """The first of ``paths`` that can be opened; the later ones are fallbacks."""
-    failures = []
+) -> Source:
+    """The first of ``paths`` that is there; the later ones are fallbacks.
+
+    Only a path that is missing, or a store that can't be reached, leads on to the next one. Everything else,
+    such as a wrong option or a missing permission, is raised.
+    """
+    failures: list[str] = []
     for path in paths:
         try:
-            return scan(spark, path, **options)
-        except Exception as failure:  # noqa: BLE001 - any store may fail in its own way
+            return Source(scan(spark, path, **options), path, tuple(failures))
+        except (AnalysisException, Py4JJavaError, IllegalArgumentException) as failure:
+            if not _is_absent(failure):
+                raise
             failures.append(f"{path}: {str(failure).splitlines()[0]}")
     raise FileNotFoundError("no price source can be read: " + "; ".join(failures))
 
 
+_ABSENT = (
+    "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FileNotFoundException", "UnknownHostException", "ConnectException",
+    "SocketTimeoutException", "NoRouteToHostException", "UnsupportedFileSystemException", "No FileSystem for scheme",
+)
+
+
+def _is_absent(failure: Exception) -> bool:
+    return any(sign in str(failure) for sign in _ABSENT)
+
+
+def first_readable(
+    spark: SparkSession,
+    paths: Sequence[str],
+    scan: Callable[..., DataFrame] = scan_named,
+    **options,
+) -> DataFrame:
+    """The rows of ``open_first``."""
+    return open_first(spark, paths, scan, **options).rows
+
+
 def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """CSV with a header, text exactly as it is; the writer would trim it by default."""
     (
