@@ -52,8 +52,9 @@ def token_pieces(
         encode = encoder(tokenizer).encode
         end = np.array([end_id], "<u4").tobytes()
         out: list[list] = [[] for _ in names]
-        for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            ids = encode(text.as_py() or "") + end
+        texts = [text or "" for text in batch.column(1).to_pylist()]
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+            ids += end
             n = len(ids) // 4
             start, piece, until = 0, 0, n % capacity or min(n, capacity)
             while start < n:

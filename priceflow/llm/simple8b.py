@@ -238,9 +238,10 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> DataFram
         encode = encoder(tokenizer).encode
         done: list[tuple] = []
         for batch in batches:
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            texts = [text or "" for text in batch.column(1).to_pylist()]
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
                 writer = writer or Writer(new_file(folder, ".s8b"))
-                writer.add(doc_id, np.append(np.frombuffer(encode(text.as_py() or ""), "<u4"), np.uint32(end_id)))
+                writer.add(doc_id, np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)))
                 if writer.values >= FILE_VALUES:
                     writer.close()
                     done.append((part, number, writer.path, len(writer.ids), writer.values))

@@ -1,19 +1,21 @@
 """Token ids of whole texts by the tokenizers library, with the ids of repeated pieces remembered.
 
 A byte-pair tokenizer works on pieces that white space delimits, so the ids of a text are the ids of its
-pieces, one after the other. Each worker process remembers the ids of pieces it has seen (at most
-``MOST_PIECES``; then it starts anew), and only new pieces reach the tokenizer.
+pieces, one after the other. Each worker process remembers the ids of the ``MOST_PIECES`` pieces and
+``MOST_WORDS`` words in them that it has seen last, and as many from before, and only new ones reach the tokenizer.
 """
 
 from __future__ import annotations
 
 import os
 import re
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 
-MOST_PIECES = 500_000
+MOST_PIECES = 200_000
+MOST_WORDS = 500_000
 AT_ONCE = 2048
 
 #: White space next to white space or at an end is grouped by the tokenizer; so are rarer separators,
@@ -21,6 +23,35 @@ AT_ONCE = 2048
 _GROUPED = re.compile(r"\s\s|^\s|\s$|[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028-\u202f\u205f-\u206f\u3000\ufeff]")
 
 
+#: Letters on whose kind all libraries agree, and marks behind them.
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]{0,3})")
+
+
+class Memory:
+    """The ids of the strings seen last, in two generations of ``most`` each."""
+
+    def __init__(self, most: int) -> None:
+        self.most = most
+        self.now: dict[str, bytes] = {}
+        self.before: dict[str, bytes] = {}
+
+    def missing(self, wanted: set[str]) -> list[str]:
+        """Those of ``wanted`` that are unknown; all the others are in ``now`` from here on."""
+        now = self.now
+        absent = [key for key in wanted if key not in now]
+        if len(now) + len(absent) > self.most:
+            self.now, self.before = {}, now
+            absent = list(wanted)
+        out = []
+        for key in absent:
+            ids = self.before.get(key)
+            if ids is None:
+                out.append(key)
+            else:
+                self.now[key] = ids
+        return out
+
+
 class Encoder:
     """ids of texts as little-endian unsigned 32-bit integers; special tokens in a text are ordinary text."""
 
@@ -31,39 +62,88 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.keeps_space = self.tokenizer.normalizer is None
-        self.known: dict[str, bytes] = {}
+        self.space = " " if self.keeps_space else ""
+        # Of ids: whether a word starts there (with its space), or ends there.
+        names = [self.tokenizer.id_to_token(i) or "" for i in range(self.tokenizer.get_vocab_size())]
+        self.at_border = np.array([n.startswith("\u0120") if self.keeps_space else n.endswith("</w>") for n in names])
+        self.known, self.words = Memory(MOST_PIECES), Memory(MOST_WORDS)
+        self.marks: dict[str, bytes] = {}
 
     def _whole(self, texts: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(x.ids, "<u4").tobytes() for x in found]
 
+    def _words(self, words: list[str]) -> list[bytes]:
+        """The ids of words of letters, encoded in one go and told apart by the mark at their start or end."""
+        ids = np.array(self.tokenizer.encode(self.space + " ".join(words), add_special_tokens=False).ids, "<u4")
+        bounds = np.flatnonzero(self.at_border[ids])
+        if not self.keeps_space:
+            bounds = np.concatenate([[0], bounds + 1])[:-1]
+        if len(bounds) != len(words) or bounds[0] != 0 or (not self.keeps_space and not self.at_border[ids[-1]]):
+            return self._whole([self.space + w for w in words])
+        data, at = ids.tobytes(), [*(4 * bounds).tolist(), 4 * len(ids)]
+        return [data[a:b] for a, b in zip(at, at[1:])]
+
+    def _pieces(self, pieces: list[str]) -> list[bytes]:
+        """The ids of pieces: those of a word and of the marks behind it, which the tokenizer parts anyway."""
+        parts = [_WORD.fullmatch(p) for p in pieces]
+        words, marks = {m[1] for m in parts if m}, {m[2] for m in parts if m}
+        for mark in marks.difference(self.marks):
+            self.marks[mark] = self._whole([mark])[0]
+        unknown = self.words.missing(words)
+        for i in range(0, len(unknown), AT_ONCE):
+            some = unknown[i : i + AT_ONCE]
+            self.words.now.update(zip(some, self._words(some)))
+        others = iter(self._whole([self.space + p for p, m in zip(pieces, parts) if not m]))
+        return [self.words.now[m[1]] + self.marks[m[2]] if m else next(others) for m in parts]
+
     def _learn(self, pieces: set[str]) -> None:
-        if len(self.known) + len(pieces) > MOST_PIECES:
-            self.known.clear()
-        some = list(pieces)
-        before = " " if self.keeps_space else ""
-        for i in range(0, len(some), AT_ONCE):
-            part = some[i : i + AT_ONCE]
-            self.known.update(zip(part, self._whole([before + p for p in part])))
-
-    def encode(self, text: str) -> bytes:
-        """The ids of one text."""
-        if not text:
-            return b""
-        if self.keeps_space and _GROUPED.search(text):
-            return self._whole([text])[0]
-        pieces = text.split(" ")
-        first = self._whole([pieces[0]])[0] if self.keeps_space else b""
-        rest = pieces[1:] if self.keeps_space else pieces
+        new = self.known.missing(pieces)
+        for i in range(0, len(new), AT_ONCE):
+            part = new[i : i + AT_ONCE]
+            self.known.now.update(zip(part, self._pieces(part)))
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text."""
+        whole = [i for i, text in enumerate(texts) if self.keeps_space and text and _GROUPED.search(text)]
+        grouped = set(whole)
+        split = [[] if i in grouped or not text else text.split(" ") for i, text in enumerate(texts)]
+        firsts: list[bytes] = [b""] * len(texts)
+        if self.keeps_space:
+            # A text's first piece has no space before it.
+            some = [i for i, pieces in enumerate(split) if pieces]
+            for i, ids in zip(some, self._whole([split[i][0] for i in some])):
+                firsts[i] = ids
+            split = [pieces[1:] for pieces in split]
+        for i, ids in zip(whole, self._whole([texts[i] for i in whole])):
+            firsts[i] = ids
+        return [first + self._joined(pieces) for first, pieces in zip(firsts, self._known(split))]
+
+    def _known(self, split: list[list[str]]) -> Iterator[list[str]]:
+        """The same lists, each handed out once its pieces are known."""
+        at = 0
+        while at < len(split):
+            wanted: set[str] = set()
+            last = at
+            while last < len(split) and (last == at or len(wanted) < AT_ONCE * 8):
+                wanted.update(split[last])
+                last += 1
+            self._learn(wanted)
+            for pieces in split[at:last]:
+                yield pieces
+            at = last
+
+    def _joined(self, pieces: list[str]) -> bytes:
+        known = self.known.now
         try:
-            return first + b"".join([self.known[p] for p in rest])
-        except KeyError:
-            known = self.known
-            self._learn({p for p in rest if p not in known})
-            if all(p in self.known for p in rest):
-                return first + b"".join([self.known[p] for p in rest])
-            self._learn(set(rest))
-            return first + b"".join([self.known[p] for p in rest])
+            return b"".join([known[p] for p in pieces])
+        except KeyError:  # more different pieces at once than are remembered
+            parts = []
+            for i in range(0, len(pieces), AT_ONCE):
+                some = pieces[i : i + AT_ONCE]
+                ids = dict(zip(names := list(dict.fromkeys(some)), self._pieces(names)))
+                parts += [ids[p] for p in some]
+            return b"".join(parts)
 
 
 @lru_cache(maxsize=4)
