@@ -294,4 +294,7 @@ def op7_contamination(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 def decontaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
     """``docs`` without the documents that hold an item."""
-    return with_hits(docs, items).where(F.size("_hits") == 0).drop("_hits")
+    # The other columns travel as one, so their names can't meet those used here.
+    others = [c for c in docs.columns if c != "text"]
+    found = with_hits(docs.select("text", F.struct(*others).alias("row")), items).where(F.size("_hits") == 0)
+    return found.select(*[F.col("text") if c == "text" else F.col("row")[c].alias(c) for c in docs.columns])

@@ -10,7 +10,7 @@ once, to meet the hashes that it loses.
   normalisation always stay.
 - Rows that share an id are one document in the count, so they keep or lose lines alike. Rows without
   id are no document: they lose nothing and no line counts because of them.
-- Columns other than the id and the text are passed through by ``drop_lines`` and not looked at.
+- Columns other than the id and the text are passed through by ``deduplicated`` and not looked at.
 """
 
 from __future__ import annotations
@@ -71,18 +71,16 @@ def lost_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int =
     return lost.groupBy("doc_id").agg(F.collect_set("line_hash").alias("lost"))
 
 
-def drop_lines(
-    docs: DataFrame, text: str = "text", min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS
-) -> DataFrame:
-    """``docs`` with the text that is left, and n_lines and n_dropped, under the names ``_kept``, ``_n_lines``, ``_n_dropped``."""
-    lost = lost_lines(docs.select("doc_id", F.col(text).alias("text")), min_chars, min_documents)
-    lost = lost.select(F.col("doc_id").alias("_lost_id"), F.col("lost").alias("_lost"))
-    joined = docs.join(lost, F.col("doc_id").cast("long") == F.col("_lost_id"), "left").drop("_lost_id")
+def drop_lines(docs: DataFrame, min_chars: int = MIN_CHARS, min_documents: int = MIN_DOCUMENTS) -> DataFrame:
+    """``docs`` (doc_id, text and any column ``row``) with kept, the text that is left, n_lines and n_dropped."""
+    lost = lost_lines(docs.select("doc_id", "text"), min_chars, min_documents).withColumnRenamed("doc_id", "lost_id")
+    joined = docs.join(lost, F.col("doc_id").cast("long") == F.col("lost_id"), "left").drop("lost_id")
     names = list(docs.columns)
+    place = names.index("text")
 
     def rebuild(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         kept, n_lines, n_dropped = [], [], []
-        for value, hashes in zip(batch.column(batch.schema.get_field_index(text)), batch.column(batch.num_columns - 1)):
+        for value, hashes in zip(batch.column(place), batch.column(batch.num_columns - 1)):
             body = value.as_py()
             lines = (body or "").split("\n")
             drop = set(hashes.as_py() or ())
@@ -91,34 +89,30 @@ def drop_lines(
             n_lines.append(len(lines))
             n_dropped.append(len(lines) - len(left))
         added = [pa.array(kept, pa.string()), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64())]
-        yield pa.record_batch([*batch.columns[: len(names)], *added], [*names, "_kept", "_n_lines", "_n_dropped"])
+        yield pa.record_batch([*batch.columns[: len(names)], *added], [*names, "kept", "n_lines", "n_dropped"])
 
-    added = StructType().add("_kept", "string").add("_n_lines", "long").add("_n_dropped", "long")
-    out = StructType(docs.schema.fields + added.fields)
-    return map_batches(joined.select(*names, "_lost"), rebuild, out)
+    added = StructType().add("kept", "string").add("n_lines", "long").add("n_dropped", "long")
+    return map_batches(joined.select(*names, "lost"), rebuild, StructType(docs.schema.fields + added.fields))
 
 
 def op4_lines(docs: DataFrame) -> DataFrame:
     """The digest: doc_id, n_lines, n_dropped, kept_sha256."""
-    kept = drop_lines(docs.select("doc_id", "text"))
-    return kept.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        F.col("_n_lines").alias("n_lines"),
-        F.col("_n_dropped").alias("n_dropped"),
-        F.sha2(F.coalesce("_kept", F.lit("")), 256).alias("kept_sha256"),
-    )
+    kept = drop_lines(docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("kept", F.lit("")), 256).alias("kept_sha256"))
 
 
 def deduplicated(docs: DataFrame) -> DataFrame:
-    """``docs`` with their remaining text; n_chars follows it."""
-    kept = drop_lines(docs)
-    changed = F.col("_n_dropped") > 0
-    columns: list[Column] = []
-    for name in docs.columns:
+    """``docs`` with their remaining text; n_chars, where there is one, follows it."""
+    # The other columns travel as one, so their names can't meet those used here.
+    others = F.struct(*[c for c in docs.columns if c != "text"]).alias("row")
+    kept = drop_lines(docs.select("doc_id", F.col("text").cast("string"), others))
+
+    def column(name: str) -> Column:
         if name == "text":
-            columns.append(F.col("_kept").alias("text"))
-        elif name == "n_chars":
-            columns.append(F.when(changed, F.length("_kept")).otherwise(F.col(name)).cast(docs.schema[name].dataType).alias(name))
-        else:
-            columns.append(F.col(name))
-    return kept.select(*columns)
+            return F.col("kept").alias(name)
+        value = F.col("row")[name]
+        if name == "n_chars":
+            value = F.when(F.col("n_dropped") > 0, F.length("kept")).otherwise(value).cast(docs.schema[name].dataType)
+        return value.alias(name)
+
+    return kept.select(*map(column, docs.columns))

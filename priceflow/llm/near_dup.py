@@ -248,4 +248,4 @@ def op3_near_duplicates(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without the documents that a smaller id of their component stands for."""
     gone = near_duplicates(docs.select("doc_id", "text")).where("NOT kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long") == F.col("_gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"].cast("long") == gone["_gone"], "left_anti")

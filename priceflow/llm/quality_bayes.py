@@ -201,4 +201,4 @@ def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
     rejected = scores(docs, labels, host, path).where("NOT kept").select(F.col("row_key").alias("_rejected")).distinct()
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     key = row_key(F.col("doc_id").cast("long"), text, host, path)
-    return docs.join(rejected, key == F.col("_rejected"), "left_anti")
+    return docs.join(rejected, key == rejected["_rejected"], "left_anti")
