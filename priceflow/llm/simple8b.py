@@ -49,8 +49,14 @@ SELECTORS = [(0, 0), (1, 60), (2, 30), (3, 20), (4, 15), (5, 12), (6, 10), (7, 8
 _COUNTS = np.array([n or 1 for n, _ in SELECTORS], np.int64)
 
 
+_SMALL_WIDTHS = np.array([i.bit_length() for i in range(1 << 16)], np.int8)
+
+
 def _widths(values: np.ndarray) -> np.ndarray:
-    return np.searchsorted(np.uint64(1) << np.arange(1, 64, dtype=np.uint64), values, "right") + (values > 0)
+    """Bits of each value; those of values up to 2**16 from a table."""
+    if not len(values) or values.max() < len(_SMALL_WIDTHS):
+        return _SMALL_WIDTHS[values.astype(np.int64)]
+    return (np.searchsorted(np.uint64(1) << np.arange(1, 64, dtype=np.uint64), values, "right") + (values > 0)).astype(np.int8)
 
 
 def encode_blocks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -62,15 +68,19 @@ def encode_blocks(values: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarra
     table = np.zeros((blocks, BLOCK), np.uint64)
     table.ravel()[:n] = values
     width = _widths(table.ravel()).reshape(blocks, BLOCK)
-    best = np.zeros((blocks, BLOCK), np.int8)
-    narrowest = int(width.min())
-    for selector, (count, bits) in enumerate(SELECTORS):
-        if not count or (bits < narrowest and n >= BLOCK):
-            continue
-        wide = np.zeros((blocks, BLOCK + 1), np.int32)
+    widest = int(width.max())
+    # Selectors of enough bits for all values fit anywhere; the last of them holds the most values.
+    sure = max((k for k, (count, bits) in enumerate(SELECTORS) if count and bits >= widest), default=0)
+    best = np.full((blocks, BLOCK), sure, np.int8)
+    wide = np.zeros((blocks, BLOCK + 1), np.int32)
+    for selector in range(sure + 1, len(SELECTORS)):
+        count, bits = SELECTORS[selector]
         np.cumsum(width > bits, axis=1, out=wide[:, 1:])
         until = np.minimum(np.arange(BLOCK) + count, BLOCK)
-        best[wide[:, until] == wide[:, :-1]] = selector  # later selectors hold more values
+        fits = np.take(wide, until, axis=1) == wide[:, :-1]
+        if not fits.any():
+            break  # more values of fewer bits don't fit either
+        best[fits] = selector
     ends = np.full(blocks, BLOCK)
     ends[-1] = n - (blocks - 1) * BLOCK
     cursor, rows = np.zeros(blocks, np.int64), np.arange(blocks)

@@ -24,7 +24,7 @@ _GROUPED = re.compile(r"\s\s|^\s|\s$|[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f
 
 
 #: Letters on whose kind all libraries agree, and marks behind them.
-_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?]{0,3})")
+_WORD = re.compile(r"([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u024f]+)([.,;:!?*#$%&|)]{0,3})")
 
 
 class Memory:
@@ -107,6 +107,8 @@ class Encoder:
         """The ids of each text."""
         whole = [i for i, text in enumerate(texts) if self.keeps_space and text and _GROUPED.search(text)]
         grouped = set(whole)
+        if not self.keeps_space:
+            texts = [text.replace("\n", " ") for text in texts]  # white space of any kind only parts words
         split = [[] if i in grouped or not text else text.split(" ") for i, text in enumerate(texts)]
         firsts: list[bytes] = [b""] * len(texts)
         if self.keeps_space:
