@@ -1,10 +1,7 @@
 from __future__ import annotations
 
-import random
-
 import pytest
-
-SCHEMA = "doc_id long, text string, lang string, source string, n_chars long"
+from llm_helpers import SCHEMA
 
 
 @pytest.fixture(scope="session")
@@ -17,9 +14,3 @@ def docs_of(spark):
         return spark.createDataFrame(rows, SCHEMA)
 
     return make
-
-
-def prose(seed: int, n: int) -> str:
-    """Invented words, different for each seed."""
-    rng = random.Random(seed)
-    return " ".join("".join(rng.choice("abcdefghij") for _ in range(rng.randint(2, 7))) for _ in range(n))

@@ -4,7 +4,7 @@ import random
 from collections import defaultdict
 
 from priceflow.llm import near_dup
-from tests.llm.conftest import prose
+from llm_helpers import prose
 
 
 def brute_force(pairs):
