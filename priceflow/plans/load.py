@@ -107,8 +107,6 @@ def load_star(
             "last_fact_id": fact_end.last_id,
         }
     )
-    if full_reload:
-        warehouse.remove_superseded()
     return {table: counts[table] for table in COUNTED}
 
 

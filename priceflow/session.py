@@ -63,6 +63,16 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def list_folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
+    """Name and time of last change (seconds since 1970) of the folders in ``path``; none if it isn't there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not store.exists(target):
+        return []
+    found = [f for f in store.listStatus(target) if f.isDirectory()]
+    return [(f.getPath().getName(), f.getModificationTime() / 1000) for f in found]
+
+
 def remove_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

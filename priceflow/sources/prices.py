@@ -55,16 +55,17 @@ def scan_named(
 
 
 def ragged_rows(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:
-    """Rows of (file, ragged): how many records of each file have more or fewer fields than its header.
+    """Rows of (file, keys, ragged): values in the first column, and records with more or fewer fields than the header.
 
-    An open quote, as a line break inside quotes leaves it without ``multi_line``, counts as well.
+    An open quote, as a line break inside quotes leaves it without ``multi_line``, counts as ragged as well.
     """
     columns = spark.read.options(**_CSV, multiLine=multi_line).csv(path).columns
     schema = T.StructType([T.StructField(c, T.StringType()) for c in [*columns, "_ragged"]])
-    options = _CSV | {"multiLine": multi_line, "columnNameOfCorruptRecord": "_ragged"}
+    # All columns are parsed: a parser that skips some does not see that a record is short.
+    options = _CSV | {"multiLine": multi_line, "columnNameOfCorruptRecord": "_ragged", "columnPruning": False}
     lines = spark.read.schema(schema).options(**options).csv(path)
-    flagged = lines.select("_ragged", F.col(f"`{columns[0]}`"), F.col("_metadata.file_path").alias("file"))
-    return flagged.groupBy("file").agg(F.count("_ragged").alias("ragged"))
+    by_file = lines.groupBy(F.col("_metadata.file_path").alias("file"))
+    return by_file.agg(F.count(f"`{columns[0]}`").alias("keys"), F.count("_ragged").alias("ragged"))
 
 
 def _row_seq(wanted: bool) -> list:

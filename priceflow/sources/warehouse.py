@@ -8,11 +8,13 @@ together with sorted files takes the place of an index on the date.
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from priceflow import schemas
-from priceflow.session import remove_path
+from priceflow.session import list_folders, remove_path
 
 LOADS = T.StructType(
     [
@@ -109,13 +111,47 @@ class Warehouse:
         for table in TABLES:
             self.read(table).createOrReplaceTempView(prefix + table)
 
-    def remove_superseded(self) -> None:
-        """Delete the fact and staging rows that a full reload has replaced."""
-        current = {load.load_id for load in self.current_loads()}
-        for load in self.loads():
-            if load.load_id not in current:
-                for table in TABLES.keys() - DIMENSIONS.keys():
-                    remove_path(self.spark, self.path(table, load.load_id))
+    def read_rejected(self) -> DataFrame:
+        """The rows that published loads have set apart, with the rules they break and their load_id."""
+        held = {name.removeprefix("load_id=") for name, _ in list_folders(self.spark, self.path("rejected"))}
+        parts = [
+            self.spark.read.parquet(f"{self.path('rejected', i)}/{part}").withColumn("load_id", F.lit(i))
+            for i in (load.load_id for load in self.loads())
+            if i in held
+            for part, _ in list_folders(self.spark, self.path("rejected", i))
+        ]
+        if not parts:
+            schema = schemas.storage_schema(schemas.STAGING, T.StructField("broken", T.ArrayType(T.StringType())), _LOAD_ID)
+            return self.spark.createDataFrame([], schema)
+        rows = parts[0]
+        for part in parts[1:]:
+            rows = rows.unionByName(part, allowMissingColumns=True)
+        return rows
+
+    def vacuum(self, older_than: datetime.timedelta = datetime.timedelta(days=7)) -> list[str]:
+        """Delete the folders of loads that no reader may still need, and name them.
+
+        These are facts and staging rows that a full reload replaced longer than ``older_than`` ago, and folders
+        that long unchanged whose load was never published. Readers that opened the tables before keep working
+        until then: a reload itself deletes nothing.
+        """
+        now = datetime.datetime.now()
+        self.refresh()
+        loads = self.loads()
+        current = self.current_loads()
+        replaced = {load.load_id for load in loads} - {load.load_id for load in current}
+        if not current or now - current[0].committed_at < older_than:
+            replaced = set()
+        published = {load.load_id for load in loads}
+        removed = []
+        for table in [*TABLES, "rejected"]:
+            for name, changed in list_folders(self.spark, self.path(table)):
+                load_id = name.removeprefix("load_id=")
+                old = now.timestamp() - changed >= older_than.total_seconds()
+                if (load_id in replaced and table not in DIMENSIONS) or (load_id not in published and old):
+                    remove_path(self.spark, f"{self.path(table)}/{name}")
+                    removed.append(f"{table}/{name}")
+        return sorted(removed)
 
     def publish(self, row: dict) -> None:
         committed = self.spark.createDataFrame([{**row, "committed_at": None}], LOADS)

@@ -44,7 +44,9 @@ def test_batches_keep_what_is_newer_than_the_mark(spark, source, tmp_path):
     assert first["load"]["staging"] == first["load"]["fact_prices"] == 2
     second = [("2020-01-01", 2, 5), ("2020-01-02", 2, 6), ("soon", 2, 7), ("2020-01-03", 2, 8)]
     path = source("two.csv", *second)
-    assert run_pipeline(spark, [str(tmp_path / "gone.csv"), path], root)["rows_extracted"] == 1
+    summary = run_pipeline(spark, [str(tmp_path / "gone.csv"), path], root)
+    assert summary["rows_extracted"] == 1 and summary["source"] == path and len(summary["source_failures"]) == 1
+    assert summary["unread"] == {}
     assert facts(spark, root) == [(D1, 1, 90), (D2, 1, 180), (D3, 2, 8)]
     assert run_pipeline(spark, [path], root)["status"] == "no_new_data"
     assert not (tmp_path / "w" / "_work").exists() or not list((tmp_path / "w" / "_work").iterdir())

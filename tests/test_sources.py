@@ -70,3 +70,50 @@ def test_replace_and_append(spark, tmp_path):
     for write, expected in ((prices.replace_table, 3), (prices.replace_table, 3), (prices.append_table, 6)):
         write(df, path)
         assert spark.read.parquet(path).count() == expected
+
+
+def test_a_source_that_is_broken_is_no_missing_source(spark, csv, tmp_path):
+    path = csv("Meru,2015-01-15", header="market,date")
+    source = prices.open_first(spark, [str(tmp_path / "none"), path])
+    assert source.path == path and len(source.failures) == 1 and "none" in source.failures[0]
+    with pytest.raises(ZeroDivisionError):
+        prices.open_first(spark, [path, path], scan=lambda *_: 1 / 0)
+
+
+def test_line_breaks_inside_quotes(spark, csv, tmp_path):
+    path = csv('"Ho\nla",2015-01-15', "Meru,2015-01-16", header="market,date")
+    assert rows(prices.scan_named(spark, path, multi_line=True), "market") == [("Ho\nla",), ("Meru",)]
+    assert prices.ragged_rows(spark, path, multi_line=True).first().ragged == 0
+    assert prices.ragged_rows(spark, path).first().ragged > 0
+    out = str(tmp_path / "out")
+    prices.write_csv(prices.scan_named(spark, path, multi_line=True), out)
+    assert rows(prices.scan_named(spark, out, multi_line=True), "market") == [("Ho\nla",), ("Meru",)]
+
+
+def test_files_of_different_headers_are_refused(spark, csv, tmp_path):
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name, header in (("a", "market,usdprice,price"), ("b", "market,price,usdprice")):
+        (folder / f"{name}.csv").write_text(f"{header}\nMeru,1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        prices.scan_named(spark, str(folder)).collect()
+
+
+def test_ragged_rows_are_counted(spark, csv):
+    path = csv("Meru,2015-01-15", "Meru", "Meru,2015-01-15,more", header="market,date")
+    assert prices.ragged_rows(spark, path).first().ragged == 2
+
+
+def test_unread_texts_are_kept_and_counted(spark, csv):
+    path = csv("12,x,1e3", "250000000,3,", "1854.5,4,1", header="price,usdprice,market_id")
+    typed = prices.type_columns(prices.scan_named(spark, path), price=prices.WIDE, date_formats=None, unread="unread")
+    assert rows(typed, "price", "unread")[0] == (Decimal("12.0000000000"), {"usdprice": "x"})
+    assert rows(prices.unread_counts(typed, "unread")) == [("usdprice", 1)]
+    assert typed.where("price = 250000000").count() == 1
+
+
+def test_dates_with_a_time(spark, csv):
+    texts = ["2015-01-15 00:00:00", "2015-01-15T10:30:00.5Z", "15/01/2015 10:30", "2015-01-15 noon"]
+    path = csv(*(f"Meru,{t}" for t in texts), header="market,date")
+    day = datetime.date(2015, 1, 15)
+    assert rows(prices.type_columns(prices.scan_named(spark, path)), "date") == [(None,), (day,), (day,), (day,)]

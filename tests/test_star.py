@@ -124,7 +124,54 @@ def test_full_reload_replaces_facts_and_keeps_dimensions(spark, tmp_path, work):
     one_load(spark, warehouse, work, "b", {"commodity": "Renamed"}, full_reload=True)
     assert warehouse.read("fact_prices").count() == 1 and warehouse.read("stg_cleaned_prices").count() == 1
     assert rows(warehouse.read("dim_commodity"), "commodity_id", "commodity") == [(67, "Maize"), (68, "Maize")]
-    assert not (tmp_path / "w" / "fact_prices" / "load_id=a").exists()
+    assert (tmp_path / "w" / "fact_prices" / "load_id=a").exists()
+
+
+def test_readers_outlive_a_full_reload_until_the_vacuum(spark, tmp_path, work, monkeypatch):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    one_load(spark, warehouse, work, "a", {}, {"commodity_id": 68})
+    opened = warehouse.read("fact_prices")
+    with monkeypatch.context() as broken:
+        broken.setattr(Warehouse, "publish", lambda *_: (_ for _ in ()).throw(OSError("lost")))
+        with pytest.raises(OSError):
+            one_load(spark, warehouse, work, "crashed", {})
+    one_load(spark, warehouse, work, "b", {}, full_reload=True)
+    assert opened.count() == 2
+    assert warehouse.vacuum() == []
+    removed = warehouse.vacuum(datetime.timedelta(0))
+    assert {"fact_prices/load_id=a", "stg_cleaned_prices/load_id=a", "fact_prices/load_id=crashed"} <= set(removed)
+    assert not any(name.endswith("=b") or name in ("dim_market/load_id=a", "dim_date/load_id=a") for name in removed)
+    assert warehouse.read("fact_prices").count() == 1 and warehouse.read("dim_commodity").count() == 2
+
+
+def test_attributes_come_from_the_first_row_of_a_key(spark, tmp_path, work):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    later = {"date": datetime.date(2020, 2, 1), "unit": None, "category": None, "county": None}
+    counts = one_load(spark, warehouse, work, "a", {}, later)
+    assert (counts["fact_prices"], counts["rejected"]) == (2, 0)
+    assert rows(warehouse.read("dim_commodity"), "commodity_id", "category", "unit") == [(67, "Cereals", "KG")]
+    lacking = ({"commodity_id": 70, "unit": None}, {"commodity_id": 70}, {"commodity_id": 71})
+    with pytest.raises(load.ConstraintViolation, match="dim_commodity"):
+        one_load(spark, warehouse, work, "b", {"commodity_id": 70, "unit": None, "date": datetime.date(2019, 1, 1)}, {"commodity_id": 71})
+    first = {"commodity_id": 70, "unit": None, "date": datetime.date(2019, 1, 1)}
+    counts = one_load(spark, warehouse, work, "c", first, *lacking[1:], on_violation="reject")
+    assert (counts["fact_prices"], counts["rejected"], counts["dim_commodity"]) == (1, 2, 1)
+    assert rows(warehouse.read_rejected(), "commodity_id", "broken") == [(70, ["dim_commodity.attributes"])] * 2
+
+
+def test_declared_widths_and_lengths(spark, tmp_path, work):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    wide = cleaned_rows(spark, {}, {"unit": "u" * 200}, {"currency": "c" * 17}, {"commodity_id": 68})
+    columns = ("price", "usd_price", "price_per_kg", "usd_price_per_kg", "latitude", "longitude")
+    wide = wide.withColumns({c: wide[c].cast("decimal(28,10)") for c in columns})
+    wide = wide.withColumn("price", wide.price + (wide.commodity_id - 67).cast("decimal(1,0)") * 250_000_000)
+    with pytest.raises(load.ConstraintViolation, match=r"currency.max_length \(1 rows\), price.fits_type \(1 rows\), unit.max_length"):
+        load.load_star(wide, warehouse, f"{work}/a", "a")
+    counts = load.load_star(wide, warehouse, f"{work}/b", "b", on_violation="reject")
+    assert (counts["staging"], counts["rejected"]) == (1, 3)
+    assert {tuple(r.broken) for r in warehouse.read_rejected().collect()} == {
+        ("unit.max_length",), ("currency.max_length",), ("price.fits_type",)
+    }
 
 
 def test_rows_without_required_values(spark, tmp_path, work):
