@@ -345,6 +345,8 @@ def oracles() -> dict[str, str]:
         "k1_replace_raw": over("raw", "SELECT pricetype, count(*) AS rows FROM raw GROUP BY pricetype"),
         "k2_append_raw": over("raw", "SELECT pricetype, 2 * count(*) AS rows FROM raw GROUP BY pricetype"),
         "k3_create_table_as": over("cleaned", CATEGORY),
+        "k3_cleaned": every_cleaned,
+        "k3_avg_price_per_commodity_year": over("cleaned", f"{YEARLY} GROUP BY 1, 2, 3"),
         "k4_load_staging": every_staging,
         "k6_full_reload": over("enriched staging dim_date dim_commodity dim_market fact", COUNTS),
         "k7_csv_cleaned": every_cleaned,

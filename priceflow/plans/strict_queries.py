@@ -13,22 +13,22 @@ from pyspark.sql import Column, DataFrame, functions as F
 from priceflow.functions.numbers import exact_avg, exact_mean
 
 
-def avg_price_per_commodity_year(cleaned: DataFrame) -> DataFrame:
-    return (
+def avg_price_per_commodity_year(cleaned: DataFrame, ordered: bool = True) -> DataFrame:
+    yearly = (
         cleaned.groupBy(F.year("date").alias("price_year"), "commodity", "pricetype")
         .agg(
             F.count("*").alias("num_observations"),
             exact_avg(F.col("price"), 2).alias("avg_price_kes"),
             exact_avg(F.col("usdprice"), 4).alias("avg_price_usd"),
         )
-        .orderBy(F.asc_nulls_last("commodity"), F.asc_nulls_last("price_year"))
     )
+    return yearly.orderBy(F.asc_nulls_last("commodity"), F.asc_nulls_last("price_year")) if ordered else yearly
 
 
-def avg_price_per_category(cleaned: DataFrame) -> DataFrame:
+def avg_price_per_category(cleaned: DataFrame, ordered: bool = True) -> DataFrame:
     """Folds to one row per (category, commodity) in the map tasks, so that the exact distinct count
     of a category that holds most rows is a count of few rows."""
-    return (
+    categories = (
         cleaned.groupBy("category")
         .agg(
             F.count_distinct("commodity").alias("num_commodities"),
@@ -38,8 +38,8 @@ def avg_price_per_category(cleaned: DataFrame) -> DataFrame:
             F.min("price").alias("min_price_kes"),
             F.max("price").alias("max_price_kes"),
         )
-        .orderBy(F.desc_nulls_first("avg_price_kes"))
     )
+    return categories.orderBy(F.desc_nulls_first("avg_price_kes")) if ordered else categories
 
 
 def commodity_trend_by_year_type(cleaned: DataFrame, commodity: str = "Maize (white)") -> DataFrame:
