@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from priceflow.session import hand_off, scratch_path
 
@@ -31,10 +31,12 @@ def connected_components(edges: DataFrame) -> DataFrame:
     current = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     state = None
     while True:
-        current = hand_off(_stars(_stars(current, large=True), large=False), scratch_path(spark, "stars"))
-        seen = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if seen == state:
+        seen = Observation()
+        stars = _stars(_stars(current, large=True), large=False)
+        stars = stars.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
+        current = hand_off(stars, scratch_path(spark, "stars"))
+        if seen.get == state:
             break
-        state = seen
+        state = seen.get
     own = current.select(F.col("v").alias("node"), F.col("v").alias("component"))
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own).distinct()

@@ -10,9 +10,9 @@ Method
    shares one of the ``r - c + 1`` rarest. Values that only one class retains use up places of that prefix, so documents
    without relatives leave here, and a very common passage makes a list only of documents that hold little else.
 3. Each list links its members to one of them (the hub), the one with the fewest rarer values, not to one another.
-4. What a list's hub leaves unconnected is compared as well, but only members of different components, and only
-   where values rarer than the list's leave room for enough overlap: pairs that share a rarer value meet in that
-   value's list. A second hub comes first, then all the remaining pairs of the list.
+4. What the hubs leave unconnected is compared as well: members of different components in one list, but only
+   where values rarer than the list's leave room for enough overlap (pairs that share a rarer value meet in that
+   value's list) and the sketches have it. So a group of near copies costs about as many comparisons as it has members.
 5. Pairs pass the sketch of the union (how many of its ``k`` smallest values both hold), then the exact similarity
    of the full sets. The result is the components of the links that pass.
 
@@ -31,7 +31,6 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -120,22 +119,25 @@ def sketch_lists(classes: DataFrame, k: int, whole: int, similarity: tuple[int,
     return entries.select("kind", "entry.value", "node", "n_shingles", "retained", (F.col("alone") + F.col("at")).alias("rarer"))
 
 
-def _spare(similarity: tuple[int, int]) -> Column:
-    """How many unshared values a shared one makes up for: exact for whole sketches, generous for others.
+def _least_overlap(similarity: tuple[int, int], n: Column, m: Column) -> Column:
+    """The retained values that similar members of a list, with ``n`` and ``m`` shingles, have in common at least.
 
-    Sketches of different reach look less alike than their sets, and vary: half the similarity covers both.
+    Of the larger of two sets of similarity s, the share s / (1 + s) * (1 + n / m) or more lies in the smaller one. That is exact
+    for whole sketches; of others as many of the ``retained`` values are common, but for four standard deviations.
     """
-    low, high = similarity
-    return F.when(F.col("kind") == 0, high / low - 1).otherwise(2 * high / low - 1)
+    s = similarity[0] / similarity[1]
+    share = s / (1 + s) * (1 + F.least(n, m) / F.greatest(n, m))
+    expected = F.col("retained") * share
+    chance = 4.1 * F.sqrt(F.greatest(F.lit(0.0), expected * (1 - share)))
+    return F.when(F.col("kind") == 0, s / (1 + s) * (n + m)).otherwise(expected - chance) - 1e-9
 
 
 def _may_link(similarity: tuple[int, int]) -> Column:
     """Whether two members of a list, the second one in ``other``, can be similar without sharing a rarer value."""
     low, high = similarity
     n, m = F.col("n_shingles"), F.col("other.n_shingles")
-    overlap = F.least(F.col("retained") - F.col("rarer"), F.col("other.retained") - F.col("other.rarer"))
-    unshared = F.col("rarer") + F.col("other.rarer")
-    return (high * F.least(n, m) >= low * F.greatest(n, m)) & (unshared <= _spare(similarity) * overlap + 1e-9)
+    mine, others = F.col("retained") - F.col("rarer"), F.col("other.retained") - F.col("other.rarer")
+    return (high * F.least(n, m) >= low * F.greatest(n, m)) & (F.least(mine, others) >= _least_overlap(similarity, n, m))
 
 
 _MEMBER = ["node", "component", "n_shingles", "retained", "rarer"]
@@ -146,29 +148,33 @@ def _pairs(joined: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     return apart.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
 
 
-def hub_pairs(lists: DataFrame, similarity: tuple[int, int], second: bool = False) -> DataFrame:
-    """Pairs (a < b) of each list's hub with the members of other components: a, b. The second hub is of another component."""
-    order = F.struct(*([-F.col("component")] if second else []), "rarer", "n_shingles", "node")
-    hubs = lists.groupBy(*LIST).agg(F.min_by(F.struct(*_MEMBER), order).alias("other"))
+def hub_pairs(lists: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a < b) of each list's hub with the members of other components: a, b."""
+    hubs = lists.groupBy(*LIST).agg(F.min_by(F.struct(*_MEMBER), F.struct("rarer", "n_shingles", "node")).alias("other"))
     return _pairs(lists.join(hubs, LIST), similarity)
 
 
-def remaining_pairs(lists: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a < b) of one list and different components: a, b."""
-    others = lists.select(*LIST, F.struct(*_MEMBER).alias("other"))
-    return _pairs(lists.join(others, LIST).where("node < other.node"), similarity)
+def remaining_pairs(lists: DataFrame, sketches: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a < b) of one list and different components, with enough retained values in common: a, b."""
+    members = lists.join(sketches, "node")
+    others = members.select(*LIST, F.struct(*_MEMBER, "sketch").alias("other"))
+    joined = members.join(others, LIST).where("node < other.node AND component <> other.component")
+    common = F.size(F.array_intersect("sketch", "other.sketch"))
+    least = _least_overlap(similarity, F.col("n_shingles"), F.col("other.n_shingles"))
+    return _pairs(joined.where(_may_link(similarity)).where(common >= least), similarity)
 
 
 def open_lists(lists: DataFrame, components: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Members of lists, with their component, that can be similar to a member of another component."""
+    """Members of lists that still have several components, with the component of each.
+
+    Only members with enough values that are no rarer than the list's, given any size of the other one.
+    """
+    low, high = similarity
     known = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    by_component = known.groupBy(*LIST, "component").agg(F.min("rarer").alias("least"))
-    first = by_component.groupBy(*LIST).agg(F.min(F.struct("least", "component")).alias("first"), F.count("*").alias("n")).where("n > 1")
-    second = by_component.join(first, LIST).where("component <> first.component")
-    second = second.groupBy(*LIST, "first").agg(F.min("least").alias("second"))
-    other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.least"))
-    room = _spare(similarity) * (F.col("retained") - F.col("rarer")) - F.col("rarer") + 1e-9
-    return known.join(second, LIST).where(other <= room).select(*LIST, *_MEMBER)
+    n = F.col("n_shingles")
+    able = known.where(F.col("retained") - F.col("rarer") >= _least_overlap(similarity, n, F.ceil(n * low / high)))
+    several = able.groupBy(*LIST).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    return able.join(several.select(*LIST), LIST).select(*LIST, *_MEMBER)
 
 
 def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
@@ -222,11 +228,9 @@ def near_duplicates(
 
     edges = edges.unionByName(confirmed(hub_pairs(lists.withColumn("component", F.col("node")), similarity)))
     components = connected_components(edges)
-    for pairs in (partial(hub_pairs, second=True), remaining_pairs):
-        left = keep(open_lists(lists, components, similarity), "open-lists")
-        if not left.count():
-            break
-        edges = edges.unionByName(confirmed(pairs(left, similarity)))
+    left = keep(open_lists(lists, components, similarity), "open-lists")
+    if left.count():
+        edges = edges.unionByName(confirmed(remaining_pairs(left, classes.select("node", "sketch"), similarity)))
         components = connected_components(edges)
 
     own = prints.select("doc_id", "n_shingles", "set_key").join(first.withColumnRenamed("node", "class_id"), "set_key", "left")
