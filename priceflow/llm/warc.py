@@ -87,19 +87,22 @@ def parsed(data: bytes) -> dict:
 
 def inflated(source: BinaryIO) -> Iterator[bytes]:
     """The content of a gzip file of one or more members, in steps."""
-    inflater = zlib.decompressobj(31)
+    inflater = None
     while data := source.read(STEP):
         while data:
-            yield inflater.decompress(data, STEP)
-            while inflater.unconsumed_tail:
-                yield inflater.decompress(inflater.unconsumed_tail, STEP)
-            data = inflater.unused_data
+            inflater = inflater or zlib.decompressobj(31)
+            while data and not inflater.eof:
+                yield inflater.decompress(data, STEP)
+                data = inflater.unconsumed_tail
             if inflater.eof:
-                inflater = zlib.decompressobj(31)
-            else:
-                break
-    if inflater.flush():
-        raise ValueError("the gzip stream ends early")
+                data, inflater = inflater.unused_data, None
+    while inflater is not None:  # what a step's limit has held back
+        part = inflater.decompress(b"", STEP)
+        if inflater.eof:
+            inflater = None
+        elif not part:
+            raise ValueError("the gzip stream ends early")
+        yield part
 
 
 def records(stream: Iterator[bytes]) -> Iterator[bytes]:
