@@ -120,7 +120,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
     bound_batches(spark)
     names = list(pieces.columns)
     place = names.index("length")
-    out = StructType(pieces.schema.fields)
+    out = StructType(list(pieces.schema.fields))
     for name, kind in (("sequence_id", "long"), ("offset", "long"), ("_kept", "boolean"), ("_gap", "long")):
         out = out.add(name, kind)
 
