@@ -346,8 +346,10 @@ def d12_gate(inputs: Inputs) -> DataFrame:
             return False
         return True
 
-    rows = [(gate, lets_pass(gate)) for gate in ("critical", "strict")]
-    return inputs.spark.createDataFrame(rows, "gate string, lets_pass boolean")
+    rows = [
+        F.struct(F.lit(gate).alias("gate"), F.lit(lets_pass(gate)).alias("lets_pass")) for gate in ("critical", "strict")
+    ]
+    return inputs.spark.range(1).select(F.inline(F.array(*rows)))
 
 
 def _over_enriched(check: Callable[..., DataFrame], **options) -> Callable[[Inputs], DataFrame]:
