@@ -9,17 +9,19 @@ Method
 3. Three tests ask whether a candidate may be drawn uniformly from its alphabet: chi-squared of the character
    counts, the number of runs above and below the alphabet's middle, and lag-one serial correlation.
    Fisher's method combines their p-values; strings of words or counters give values near zero.
-4. False discovery control, per alphabet and length band, over all candidates: random strings have uniform
+4. False discovery control, per alphabet and length band, over all different candidates: random strings have uniform
    p-values, so those over one half tell how many random ones there are. A threshold is set as low
-   as it can be with at most ``FALSE_SHARE`` of the strings above it in excess of the random ones expected there. Short
-   bands, where words pass the tests more easily, so get a stricter threshold or none.
+   as it can be with at most ``FALSE_SHARE`` of the strings above it in excess of the random ones expected there. From
+   ``LEAST_P`` on, an excess within ``NOISE`` standard deviations of what random strings alone would show raises no
+   threshold, so a few keys among any number of words are judged as keys without words are. Short
+   bands, where words pass the tests more easily, so get a stricter threshold, of one half at most.
 5. Candidates over their band's threshold that no base span overlaps are added as kind ``random``.
 
 Positions are code points; no text is shuffled, only candidates' p-values in bins and short spans.
 
 Inputs out of the ordinary
 - Null or empty text: no span, the digest of the empty string. Null doc_id: reported like others.
-- Repeated rows are reported each, and count each in the bands. Other columns are not looked at.
+- Repeated rows are reported each; a string counts once in its band, however often it is copied. Other columns are not looked at.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ MIN_LENGTH = 20
 MIN_ASSIGNED = 6
 FALSE_SHARE = 0.05
 BINS = 50
-#: A band needs as many candidates as this for a threshold of its own; below, LEAST_P decides.
-MIN_BAND = 30
+#: From LEAST_P on, an excess over the random strings expected must be over NOISE standard deviations to count.
+NOISE = 3.0
 LEAST_P = 0.05
 MOST_LENGTH_BAND = 6
 
@@ -154,9 +156,10 @@ def tested(candidates: DataFrame) -> DataFrame:
 
 def thresholds(tests: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     """The least p of a discovery per alphabet and band: alphabet, band, least_p. At most 9 * 7 rows."""
-    binned = tests.groupBy("alphabet", "band", F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin"))
-    counts = binned.agg(F.count("*").alias("n")).groupBy("alphabet", "band").agg(
-        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins"), F.sum("n").alias("all")
+    bin_ = F.least(F.floor(F.col("p") * BINS), F.lit(BINS - 1)).cast("int").alias("bin")
+    different = tests.select("alphabet", "band", bin_, F.xxhash64("found").alias("string")).distinct()
+    counts = different.groupBy("alphabet", "band", "bin").agg(F.count("*").alias("n")).groupBy("alphabet", "band").agg(
+        F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("bins")
     )
     at = F.transform(F.sequence(F.lit(0), F.lit(BINS - 1)), lambda b: F.coalesce(F.col("bins")[b.cast("int")], F.lit(0)).cast("double"))
     counts = counts.withColumn("at", at)
@@ -164,13 +167,20 @@ def thresholds(tests: DataFrame, false_share: float = FALSE_SHARE) -> DataFrame:
     counts = counts.withColumn("above", above)
     random = 2 * F.get("above", F.lit(BINS // 2))
 
-    def allowed(b: Column) -> Column:
+    def allowed(b: Column, deviations: float) -> Column:
         seen = F.get("above", b)
-        return (seen > 0) & (seen - random * (1 - b / BINS) <= false_share * seen)
-
-    chosen = F.array_min(F.filter(F.sequence(F.lit(0), F.lit(BINS - 1)), allowed)) / BINS
-    least = F.when(F.col("all") < MIN_BAND, F.lit(LEAST_P)).otherwise(F.greatest(F.coalesce(chosen, F.lit(2.0)), F.lit(1 / BINS)))
-    return counts.select("alphabet", "band", least.alias("least_p"))
+        # With random strings alone, the excess has mean 0 and variance seen * (1 - 2 * b / BINS).
+        noise = deviations * F.sqrt(seen * F.greatest(F.lit(0.0), 1 - 2 * b / BINS))
+        return (seen > 0) & (seen - random * (1 - b / BINS) <= false_share * seen + noise)
+
+    def lowest(first: int, deviations: float) -> Column:
+        bins = F.filter(F.sequence(F.lit(first), F.lit(BINS - 1)), lambda b: allowed(b, deviations))
+        # One half is always allowed if any string lies above it.
+        return F.coalesce(F.array_min(bins), F.lit(BINS // 2)) / BINS
+
+    clear = F.greatest(lowest(0, 0.0), F.lit(1 / BINS))
+    in_doubt = F.greatest(lowest(int(LEAST_P * BINS), NOISE), F.lit(LEAST_P))
+    return counts.select("alphabet", "band", F.least(clear, in_doubt).alias("least_p"))
 
 
 def _joined(spans_: Column) -> Column:

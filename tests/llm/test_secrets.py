@@ -49,3 +49,23 @@ def test_p_values_of_random_strings_are_even(spark):
     for name in ("p_uniform", "p_runs", "p_serial", "p"):
         low, mid = tests.agg(F.avg((F.col(name) < 0.1).cast("int")), F.avg((F.col(name) < 0.5).cast("int"))).first()
         assert low < 0.2 and 0.35 < mid < 0.65, name
+
+
+def test_few_keys_are_found_among_any_number_of_words(spark):
+    cases = [(1, 28), (1, 29), (1, 1000), (3, 1000), (10, 1000), (30, 0), (100, 0)]
+    rng = random.Random(7)
+    # 100 bands of each case; words have p-values of about 0, keys have uniform ones.
+    keys = [(f"{n} {w}", band, f"{band} {i}", rng.random()) for n, w in cases for band in range(100) for i in range(n)]
+    keys = spark.createDataFrame(keys, "alphabet string, band int, found string, p double")
+    words = [spark.range(100 * w).selectExpr(f"'{n} {w}'", "cast(id % 100 as int)", "cast(id as string)", "0D") for n, w in cases if w]
+    tests = keys
+    for some in words:
+        tests = tests.union(some)
+    limits = secrets.thresholds(tests)
+    found = keys.join(limits, ["alphabet", "band"]).groupBy("alphabet").agg(F.avg((F.col("p") >= F.col("least_p")).cast("int")).alias("share"))
+    assert {r.alphabet: r.share for r in found.collect() if r.share < 0.88} == {}
+    # Copies of a key change nothing, and many different words between 0.1 and 0.3 are no keys.
+    copies = spark.range(1000).selectExpr("'copies' alphabet", "0 band", "'same' found", "0.3D p")
+    alike = spark.range(1000).selectExpr("'words' alphabet", "0 band", "cast(id as string) found", "0.1D + id % 20 / 100D p")
+    least = {r.alphabet: r.least_p for r in secrets.thresholds(copies.union(alike)).collect()}
+    assert least["copies"] <= 0.3 and least["words"] >= 0.25
