@@ -8,12 +8,17 @@ Method
    sequences at a small edit distance give outputs at a small Hamming distance.
 3. Bit-sampling LSH on the outputs: a few written words at sampled steps make a key, with ``samples`` keys per
    walk. Windows that have a key in common with an item are candidates. The number of walks is raised until
-   edited copies of the items, with as many edits as allowed, are found with the target recall.
+   edited copies of the items, with as many edits as allowed, are found with the target recall. Each
+   band of item lengths has a number of its own, since longer items need more walks.
 4. Candidates are verified by the exact edit distance of the item to the best run of words there.
 
 By the pigeonhole principle an item with at most k edits keeps one of k + 1 parts whole, so a window can
 only match near such a part. Only windows there are embedded; this loses nothing and leaves few windows.
 
+Items of ``DIRECT_WORDS`` words or more, and bands that ``MOST_WALKS`` walks are too few for, are not embedded. An
+item of L words keeps at least L + 1 - (k + 1) q of its runs of q words, on diagonals at most k apart; places with
+as many are verified directly, so none of these items is missed.
+
 The items are the query set: they are taken in blocks of at most ``BLOCK_WORDS`` words, each of which is
 sent to the executors; all documents run against every block, in one pass and without a shuffle.
 Memory is bounded by an Arrow batch, one text, and a block of items.
@@ -42,8 +47,10 @@ RECALL = 0.98
 SAMPLED_STEPS = 3
 SAMPLES = 6
 MOST_WALKS = 48
-#: Edited copies that the number of walks is fitted on; a bound, not a share of the data.
+#: Edited copies that a band's number of walks is fitted on; a bound, not a share of the data.
 FIT_COPIES = 600
+#: From as many words on, verifying directly takes less time than walks, and loses nothing.
+DIRECT_WORDS = 128
 WINDOWS_AT_ONCE = 4096
 HITS = "array<struct<item_id:bigint,start:bigint,end:bigint,edits:bigint>>"
 
@@ -117,25 +124,36 @@ class Items:
     ids: list[int | None]
     words: list[np.ndarray]
     most_edits: np.ndarray
-    embedding: Embedding
+    #: Of each item; 0 for those that are verified directly.
+    walks: np.ndarray
     key_values: np.ndarray
     key_items: np.ndarray
     parts: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
     seen: dict[int, np.ndarray]
 
 
+def part_size(size: int, most_edits: int) -> int:
+    """Words of a part of an item of ``size`` words, one of which stays whole."""
+    return max(1, size // (most_edits + 1))
+
+
 def prepared(ids: list[int | None], words: list[np.ndarray], edits: float = EDITS, recall: float = RECALL) -> Items:
     """Parts, embedding and keys of the items, with as many walks as the target recall needs."""
     sizes = np.array([len(w) for w in words], np.int64)
     most = (sizes * edits + 1e-9).astype(np.int64)
-    embedding = _fitted(words, sizes, most, recall)
-    matrix, lengths = _padded(words)
-    keys = embedding.keys(matrix, lengths, sizes)
-    values, items = keys.ravel(), np.repeat(np.arange(len(words)), keys.shape[1])
+    walks = _fitted(words, sizes, most, recall)
+    found_values, found_items = [np.empty(0, np.uint64)], [np.empty(0, np.int64)]
+    for n in np.unique(walks[walks > 0]).tolist():
+        chosen = np.flatnonzero(walks == n)
+        matrix, lengths = _padded([words[i] for i in chosen])
+        keys = Embedding(n).keys(matrix, lengths, sizes[chosen])
+        found_values.append(keys.ravel())
+        found_items.append(np.repeat(chosen, keys.shape[1]))
+    values, items = np.concatenate(found_values), np.concatenate(found_items)
     order = np.argsort(values, kind="stable")
     grams: dict[int, list[tuple[np.ndarray, int]]] = {}
     for i, sequence in enumerate(words):
-        size = max(1, len(sequence) // (int(most[i]) + 1))
+        size = part_size(len(sequence), int(most[i]))
         grams.setdefault(size, []).append((shingle_hashes(sequence, size), i))
     parts, seen = {}, {}
     for size, found in grams.items():
@@ -147,11 +165,21 @@ def prepared(ids: list[int | None], words: list[np.ndarray], edits: float = EDIT
         table = np.zeros(1 << 22, bool)
         table[(hashes >> np.uint64(42)).astype(np.int64)] = True
         seen[size] = np.packbits(table)
-    return Items(ids, words, most, embedding, values[order], items[order], parts, seen)
+    return Items(ids, words, most, walks, values[order], items[order], parts, seen)
+
+
+def _fitted(words: list[np.ndarray], sizes: np.ndarray, most: np.ndarray, recall: float) -> np.ndarray:
+    """Of each item, the fewest walks that find the target share of copies of its length band; 0 where none do."""
+    walks = np.zeros(len(words), np.int64)
+    bands = np.floor(2 * np.log2(np.maximum(sizes, 1))).astype(np.int64)
+    for band in np.unique(bands[sizes < DIRECT_WORDS]).tolist():
+        members = np.flatnonzero((bands == band) & (sizes < DIRECT_WORDS))
+        walks[members] = _walks_of([words[i] for i in members], sizes[members], most[members], recall)
+    return walks
 
 
-def _fitted(words: list[np.ndarray], sizes: np.ndarray, most: np.ndarray, recall: float) -> Embedding:
-    """The fewest walks whose keys find the target share of copies with as many edits as allowed."""
+def _walks_of(words: list[np.ndarray], sizes: np.ndarray, most: np.ndarray, recall: float) -> int:
+    """The fewest walks whose keys find the target share of copies with as many edits as allowed, or 0."""
     rng = np.random.default_rng(11)
     chosen = rng.integers(len(words), size=min(FIT_COPIES, 20 * len(words)))
     copies = [edited(words[i], int(most[i]), rng)[: sizes[i]] for i in chosen]
@@ -162,9 +190,8 @@ def _fitted(words: list[np.ndarray], sizes: np.ndarray, most: np.ndarray, recall
     width = max(matrix.shape[1], int(sizes[chosen].max()) + 1)
     matrix = np.pad(matrix, ((0, 0), (0, width - matrix.shape[1])))
     equal = (full.keys(matrix, lengths, sizes[chosen]) == ours).reshape(len(chosen), MOST_WALKS, SAMPLES).any(axis=2)
-    reached = np.maximum.accumulate(equal, axis=1).mean(axis=0)
-    walks = int(np.argmax(reached >= recall)) + 1 if (reached >= recall).any() else MOST_WALKS
-    return Embedding(walks)
+    reached = np.maximum.accumulate(equal, axis=1).mean(axis=0) >= recall
+    return int(np.argmax(reached)) + 1 if reached.any() else 0
 
 
 def part_hits(words: np.ndarray, items: Items) -> tuple[np.ndarray, np.ndarray]:
@@ -195,38 +222,59 @@ def best_run(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return int(row[end]), end
 
 
+def direct_regions(owners: np.ndarray, starts: np.ndarray, items: Items) -> Iterator[tuple[int, int, int]]:
+    """Where items without walks may stand: item, and start and end of the words to verify, in order."""
+    order = np.lexsort((starts, owners))
+    owners, starts = owners[order], starts[order]
+    edges = np.flatnonzero(np.diff(owners, prepend=-1, append=-1))
+    for begin, end in zip(edges, edges[1:]):
+        item, at = int(owners[begin]), starts[begin:end]
+        size, k = len(items.words[item]), int(items.most_edits[item])
+        # As many parts stay whole at least, on diagonals that are at most k apart.
+        least = max(1, size + 1 - (k + 1) * part_size(size, k))
+        first = np.flatnonzero(at[least - 1 :] - at[: max(0, len(at) - least + 1)] <= k)
+        low, high = np.maximum(0, at[first] - k), at[first + least - 1] + size + 2 * k
+        apart = np.flatnonzero(low[1:] >= np.maximum.accumulate(high)[:-1]) + 1
+        for part in np.split(np.arange(len(first)), apart) if len(first) else ():
+            yield item, int(low[part[0]]), int(high[part].max())
+
+
 def matches(words: np.ndarray, items: Items) -> dict[int, tuple[int, int, int]]:
     """The items that a text holds: item, and start and end (in words) and the edits of its best run."""
     owners, starts = part_hits(words, items)
     if not len(owners):
         return {}
     sizes, most = np.array([len(w) for w in items.words]), items.most_edits
-    windows: set[tuple[int, int]] = set()
-    for owner, start in set(zip(owners.tolist(), starts.tolist())):
+    direct = items.walks[owners] == 0
+    regions = list(direct_regions(owners[direct], starts[direct], items))
+    windows: set[tuple[int, int, int]] = set()
+    for owner, start in set(zip(owners[~direct].tolist(), starts[~direct].tolist())):
         for shift in range(-int(most[owner]), int(most[owner]) + 1):
             if -most[owner] <= start + shift < len(words):
-                windows.add((max(0, start + shift), int(sizes[owner])))
+                windows.add((int(items.walks[owner]), max(0, start + shift), int(sizes[owner])))
     candidates: set[tuple[int, int]] = set()
-    chosen = sorted(windows)
-    for first in range(0, len(chosen), WINDOWS_AT_ONCE):
-        some = chosen[first : first + WINDOWS_AT_ONCE]
-        matrix, lengths = _padded([words[s : s + n] for s, n in some])
-        wanted = np.array([n for _, n in some], np.int64)
-        matrix = np.pad(matrix, ((0, 0), (0, max(0, int(wanted.max()) + 1 - matrix.shape[1]))))
-        keys = items.embedding.keys(matrix, lengths, wanted)
-        low, high = (np.searchsorted(items.key_values, keys, side) for side in ("left", "right"))
-        for row, column in zip(*np.nonzero(high > low)):
-            for item in items.key_items[low[row, column] : high[row, column]]:
-                candidates.add((int(item), some[row][0]))
-    found: dict[int, tuple[int, int, int]] = {}
+    for walks in sorted({w for w, _, _ in windows}):
+        chosen = sorted((s, n) for w, s, n in windows if w == walks)
+        for first in range(0, len(chosen), WINDOWS_AT_ONCE):
+            some = chosen[first : first + WINDOWS_AT_ONCE]
+            matrix, lengths = _padded([words[s : s + n] for s, n in some])
+            wanted = np.array([n for _, n in some], np.int64)
+            matrix = np.pad(matrix, ((0, 0), (0, max(0, int(wanted.max()) + 1 - matrix.shape[1]))))
+            keys = Embedding(walks).keys(matrix, lengths, wanted)
+            low, high = (np.searchsorted(items.key_values, keys, side) for side in ("left", "right"))
+            for row, column in zip(*np.nonzero(high > low)):
+                for item in items.key_items[low[row, column] : high[row, column]]:
+                    candidates.add((int(item), some[row][0]))
     for item, start in sorted(candidates):
         k = int(most[item])
+        regions.append((item, max(0, start - 2 * k), start + int(sizes[item]) + 2 * k))
+    found: dict[int, tuple[int, int, int]] = {}
+    for item, low, high in regions:
         if item in found and found[item][2] == 0:
             continue
-        low = max(0, start - 2 * k)
-        region = words[low : start + int(sizes[item]) + 2 * k]
+        region = words[low:high]
         edits, end = best_run(items.words[item], region)
-        if edits <= k and (item not in found or edits < found[item][2]):
+        if edits <= most[item] and (item not in found or edits < found[item][2]):
             reverse, length = best_run(items.words[item][::-1], region[:end][::-1])
             found[item] = (low + end - length, low + end, edits)
     return found

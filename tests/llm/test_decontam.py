@@ -62,3 +62,18 @@ def test_recall_of_edited_copies():
         text = np.concatenate([noise[:50], decontam.edited(words[i], 8, rng), noise[50:]])
         found += i in decontam.matches(text, items)
     assert found >= 48
+
+
+def test_long_items_are_found_among_many_short_ones():
+    sizes = [10] * 300 + [400] * 5 + [200] * 5 + [100] * 5
+    words = [np.random.default_rng(i).integers(1, 1 << 62, n, dtype=np.uint64) for i, n in enumerate(sizes)]
+    items = decontam.prepared(list(range(len(sizes))), words)
+    rng = np.random.default_rng(98)
+    found = []
+    for i in [*range(300, 315)] * 2:
+        noise = rng.integers(1, 1 << 62, 100, dtype=np.uint64)
+        text = np.concatenate([noise[:50], decontam.edited(words[i], sizes[i] // 5, rng), noise[50:]])
+        hit = decontam.matches(text, items)
+        assert all(hit[j][2] == least_edits(words[j].tolist(), text.tolist()) for j in hit)
+        found.append(i in hit)
+    assert sum(found) >= 29 and all(f for f, i in zip(found, [*range(300, 315)] * 2) if i < 310)
