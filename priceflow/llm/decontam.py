@@ -15,7 +15,7 @@ Method
 By the pigeonhole principle an item with at most k edits keeps one of k + 1 parts whole, so a window can
 only match near such a part. Only windows there are embedded; this loses nothing and leaves few windows.
 
-Items of ``DIRECT_WORDS`` words or more, and bands that ``MOST_WALKS`` walks are too few for, are not embedded. An
+Items of fewer than ``WALK_WORDS`` or at least ``DIRECT_WORDS`` words, and bands that ``MOST_WALKS`` walks are too few for, are not embedded. An
 item of L words keeps at least L + 1 - (k + 1) q of its runs of q words, on diagonals at most k apart; places with
 as many are verified directly, so none of these items is missed.
 
@@ -24,7 +24,9 @@ sent to the executors; all documents run against every block, in one pass and wi
 Memory is bounded by an Arrow batch, one text, and a block of items.
 
 Inputs out of the ordinary
-- Null, empty or blank text: holds no item. An item of fewer than ``min_words`` words, or null, is in no document.
+- Null, empty or blank text: holds no item. An item without words, or null, is in no document.
+- Short items: one of fewer than 5 words must stand whole. A common word as an item is in most documents; ``min_words``
+  leaves such items out, by default none.
 - Repeated items are all reported, an item without id as null. An empty benchmark leaves all documents.
 - Repeated rows and ids: each row is judged by its own text. Other columns are passed through.
 """
@@ -41,7 +43,8 @@ from pyspark.sql import DataFrame, functions as F
 from priceflow.llm.text import map_batches, mix, shingle_hashes, word_runs
 
 EDITS = 0.2
-MIN_WORDS = 8
+#: Shorter items hold 0 or 1 edits and are verified directly.
+WALK_WORDS = 8
 BLOCK_WORDS = 1_000_000
 RECALL = 0.98
 SAMPLED_STEPS = 3
@@ -172,8 +175,9 @@ def _fitted(words: list[np.ndarray], sizes: np.ndarray, most: np.ndarray, recall
     """Of each item, the fewest walks that find the target share of copies of its length band; 0 where none do."""
     walks = np.zeros(len(words), np.int64)
     bands = np.floor(2 * np.log2(np.maximum(sizes, 1))).astype(np.int64)
-    for band in np.unique(bands[sizes < DIRECT_WORDS]).tolist():
-        members = np.flatnonzero((bands == band) & (sizes < DIRECT_WORDS))
+    walked = (sizes >= WALK_WORDS) & (sizes < DIRECT_WORDS)
+    for band in np.unique(bands[walked]).tolist():
+        members = np.flatnonzero((bands == band) & walked)
         walks[members] = _walks_of([words[i] for i in members], sizes[members], most[members], recall)
     return walks
 
@@ -292,13 +296,13 @@ def item_blocks(items: DataFrame, edits: float, min_words: int, block_words: int
         for _, before, hashes, _, _ in word_runs(pa.array([r.text for r in rows], pa.string())):
             words += [hashes[a:b] for a, b in zip(before, before[1:])]
         ids = [r.item_id for r in rows]
-        chosen = [i for i, w in enumerate(words) if len(w) >= min_words]
+        chosen = [i for i, w in enumerate(words) if len(w) >= max(1, min_words)]
         if chosen:
             yield prepared([ids[i] for i in chosen], [words[i] for i in chosen], edits)
 
 
 def with_hits(
-    docs: DataFrame, items: DataFrame, edits: float = EDITS, min_words: int = MIN_WORDS, block_words: int = BLOCK_WORDS
+    docs: DataFrame, items: DataFrame, edits: float = EDITS, min_words: int = 1, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """``docs`` with ``_hits``: the items that the text holds, with start and end in words, and edits."""
     names = list(docs.columns)

@@ -77,3 +77,17 @@ def test_long_items_are_found_among_many_short_ones():
         assert all(hit[j][2] == least_edits(words[j].tolist(), text.tolist()) for j in hit)
         found.append(i in hit)
     assert sum(found) >= 29 and all(f for f, i in zip(found, [*range(300, 315)] * 2) if i < 310)
+
+
+def test_short_items_are_those_of_brute_force(spark, docs_of):
+    items = ["one", "two words", "a b c", "all of these four", "five words of an item", "this item holds six words", "and seven words are in this one", " ", "b c"]
+    frame = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    texts = [f"{prose(i, 20)} {item} {prose(40 + i, 20)}" for i, item in enumerate(items)]
+    texts += ["a b x c", "five words of item", "Five WORDS of\nsome item", "five words item", "item this holds six words", "One", "", None]
+    got = {r.doc_id: (r.item_ids, r.kept) for r in decontam.op7_contamination(docs_of(*texts), frame).collect()}
+    for doc_id, body in enumerate(texts):
+        words = (body or "").lower().split()
+        expected = [i for i, item in enumerate(items) if item.split() and least_edits(item.split(), words) <= len(item.split()) // 5]
+        assert got[doc_id] == (expected, not expected)
+    long = decontam.with_hits(docs_of(*texts), frame, min_words=8)
+    assert long.where("size(_hits) > 0").count() == 0
