@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,10 +18,12 @@ from priceflow.session import hand_off, scratch_path
 from priceflow.sources import prices
 from priceflow.sources.warehouse import TABLES, Warehouse
 
-try:  # an optional part, which nothing else imports
+# An optional part, which nothing else imports. Where it is there, a failing import of it is an error.
+_llm = importlib.util.find_spec("priceflow.llm")
+if _llm and _llm.origin and importlib.util.find_spec("corpus_pipeline"):
     import corpus_pipeline
     from priceflow.llm import oracle as llm_oracle, queries as llm_queries
-except ImportError:
+else:
     corpus_pipeline = llm_oracle = llm_queries = None
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
-from conftest import rows
+from base_helpers import rows
 from pyspark.sql import functions as F
 
 from priceflow.operators import enrich, strict

@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
-from conftest import rows
+from base_helpers import rows
 
 from priceflow.operators.quality import QualityCheckError
 from priceflow.plans.load import ConstraintViolation

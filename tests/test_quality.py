@@ -4,7 +4,7 @@ import datetime
 from decimal import Decimal
 
 import pytest
-from conftest import rows
+from base_helpers import rows
 from test_star import cleaned_rows
 
 from priceflow.operators import quality

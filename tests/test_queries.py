@@ -3,7 +3,7 @@ from __future__ import annotations
 import datetime
 from decimal import Decimal
 
-from conftest import rows
+from base_helpers import rows
 
 from priceflow.plans import star_queries, strict_queries
 

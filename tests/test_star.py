@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pandas as pd
 import pytest
-from conftest import rows
+from base_helpers import rows
 
 from priceflow.operators import constraints, dimensions
 from priceflow.plans import load
