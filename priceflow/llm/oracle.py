@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from priceflow.llm import divergence as d
+from priceflow.llm import divergence as d, mixing
 
 WHITE = r"[\x20\x09-\x0D]"
 
@@ -86,7 +86,45 @@ FROM measured
 """
 
 
+MIXTURE = rf"""
+WITH sized AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size,
+    md5('{mixing.SEED}:' || coalesce(doc_id::VARCHAR, md5(text), '')) AS digest FROM documents),
+celled AS (
+  SELECT doc_id, source, size, ('0x' || substr(digest, 1, 3))::BIGINT AS cell, ('0x' || substr(digest, 4, 12))::BIGINT AS draw FROM sized),
+sources AS (
+  SELECT source, sum(size)::BIGINT AS source_size, [5, 2, 1][(row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1] AS weight
+  FROM celled GROUP BY source),
+clamped AS (
+  SELECT sum(2 * source_size) OVER w AS caps, sum(weight) OVER () - sum(weight) OVER w AS free, sum(source_size) OVER () AS total
+  FROM sources WINDOW w AS (ORDER BY 2.0 * source_size / weight RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)),
+tried AS (
+  SELECT 3 * total - 2 * caps AS up, 2 * free AS down FROM clamped WHERE free > 0
+  UNION ALL SELECT 3 * sum(source_size), 2 * sum(weight) FROM sources),
+level AS (SELECT up::BIGINT AS up, down::BIGINT AS down FROM tried WHERE down > 0 ORDER BY up::DOUBLE / down DESC, down LIMIT 1),
+targets AS (
+  SELECT source, source_size,
+    CASE WHEN 2 * source_size::HUGEINT * down <= weight * up THEN 2.0 * source_size ELSE (weight * up)::DOUBLE / down END::DOUBLE AS target,
+    CASE WHEN 2 * source_size::HUGEINT * down <= weight * up THEN 2 * source_size ELSE (weight * up) // down END AS words
+  FROM sources, level),
+planned AS (
+  SELECT *, CASE WHEN source_size > 0 THEN words // source_size ELSE 0 END AS repeats,
+    CASE WHEN source_size > 0 THEN words % source_size ELSE 0 END AS rest FROM targets),
+cells AS (SELECT source, cell, sum(size) AS cell_size FROM celled GROUP BY source, cell),
+along AS (SELECT *, sum(cell_size) OVER (PARTITION BY source ORDER BY cell) AS until FROM cells),
+cut AS (
+  SELECT p.source, a.cell AS cut, a.cell_size, p.rest - a.until + a.cell_size AS needed
+  FROM along a JOIN planned p ON a.source IS NOT DISTINCT FROM p.source
+  WHERE p.rest > 0 AND p.rest < a.until AND p.rest >= a.until - a.cell_size)
+SELECT d.doc_id, d.size, p.source_size, p.target,
+  (p.repeats * d.size + CASE WHEN d.cell < c.cut THEN d.size
+    WHEN d.cell = c.cut THEN (d.size * c.needed + d.draw % c.cell_size) // c.cell_size ELSE 0 END)::BIGINT AS taken,
+  d.source, p.repeats::BIGINT AS repeats
+FROM celled d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source
+"""
+
 SQL: dict[str, str] = {
+    "op11_capped_mixture": MIXTURE,
     "op2_divergence_rules": _divergence(),
     "op4_line_dedup": LINE_DEDUP,
     "op6_warc_normaliser": ARCHIVES,

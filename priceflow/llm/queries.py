@@ -1,4 +1,4 @@
-"""The queries of the ten operators, each over the whole of its table."""
+"""The queries of the operators, each over the whole of its table."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, divergence, line_dedup, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
+from priceflow.llm import decontam, divergence, line_dedup, mixing, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -58,6 +58,10 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.op10_personal_data(table(spark, sf_dir, "documents"))
 
 
+def op11_capped_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.op11_mixture(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_divergence_rules": op2_divergence_rules,
@@ -69,4 +73,5 @@ QUERIES: dict[str, Query] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
+    "op11_capped_mixture": op11_capped_mixture,
 }
