@@ -123,7 +123,55 @@ SELECT d.doc_id, d.size, p.source_size, p.target,
 FROM celled d JOIN planned p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN cut c ON d.source IS NOT DISTINCT FROM c.source
 """
 
+_LEAF = " || ".join(
+    f"coalesce(octet_length(encode({c}::VARCHAR))::VARCHAR || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars")
+)
+_TEXT = "coalesce(octet_length(encode({0}))::VARCHAR || ':' || {0}, '-')"
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+#: CRC-32 of the decimal id, bit by bit.
+_CRC = """xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+  lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), list_transform(range(8), lambda i: i)),
+    lambda c, i: xor(c >> 1, 3988292384 * (c & 1)))), 4294967295)"""
+
+MERKLE = f"""
+WITH RECURSIVE given AS (
+  SELECT doc_id, coalesce('=' || lang, '') AS tree, sha256({_LEAF} || {_TEXT.format('text')}) AS leaf,
+    CASE WHEN {_CRC} % 3 = 0 THEN sha256({_LEAF} || {_TEXT.format(_LOWER)}) END AS changed FROM documents),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY tree) AS n FROM given),
+nodes AS (
+  SELECT tree, 0 AS level, i, n, leaf AS hash FROM leaves
+  UNION ALL SELECT tree, level + 1, i // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY i)) FROM nodes WHERE n > 1 GROUP BY tree, level, n, i // 8),
+subroots AS (
+  SELECT tree, hash AS subroot, level AS height, row_number() OVER (ORDER BY encode(tree)) - 1 AS i, count(*) OVER () AS n FROM nodes WHERE n = 1),
+tops AS (
+  SELECT 0 AS level, i, n, subroot AS hash FROM subroots
+  UNION ALL SELECT level + 1, i // 8, (n + 7) // 8, sha256(string_agg(hash, '' ORDER BY i)) FROM tops WHERE n > 1 GROUP BY level, n, i // 8),
+ways AS (
+  SELECT leaves.tree AS tree, leaves.i AS i, 1 + level AS step, level, i // (8 ** level)::BIGINT AS own, NULL::BIGINT AS top FROM leaves
+  JOIN (SELECT DISTINCT tree, level FROM nodes WHERE n > 1) l ON leaves.tree = l.tree),
+beside AS (
+  SELECT w.tree, w.i, w.step, coalesce(string_agg(hash, '' ORDER BY s.i) FILTER (s.i < own), '') AS before,
+    coalesce(string_agg(hash, '' ORDER BY s.i) FILTER (s.i > own), '') AS behind
+  FROM ways w JOIN nodes s ON s.tree = w.tree AND s.level = w.level AND s.i // 8 = own // 8 GROUP BY w.tree, w.i, w.step
+  UNION ALL
+  SELECT l.tree, l.i, 1 + r.height + t.level, coalesce(string_agg(hash, '' ORDER BY t.i) FILTER (t.i < r.i // (8 ** t.level)::BIGINT), ''),
+    coalesce(string_agg(hash, '' ORDER BY t.i) FILTER (t.i > r.i // (8 ** t.level)::BIGINT), '')
+  FROM leaves l JOIN subroots r ON l.tree = r.tree JOIN tops t ON t.n > 1 AND t.i // 8 = r.i // (8 ** t.level)::BIGINT // 8
+  GROUP BY l.tree, l.i, r.height, t.level),
+proofs AS (SELECT tree, i, sha256(string_agg(before || behind, '' ORDER BY step)) AS proof FROM beside GROUP BY tree, i),
+folded AS (
+  SELECT tree, i, 0 AS step, coalesce(changed, leaf) AS hash FROM leaves
+  UNION ALL SELECT f.tree, f.i, b.step, sha256(b.before || f.hash || b.behind)
+  FROM folded f JOIN beside b ON b.tree = f.tree AND b.i = f.i AND b.step = f.step + 1),
+ends AS (SELECT tree, i, max_by(hash, step) AS hash FROM folded GROUP BY tree, i)
+SELECT l.doc_id, l.leaf, r.subroot, t.hash AS root, coalesce(p.proof, sha256('')) AS proof_sha256, e.hash AS folded_root, e.hash = t.hash AS verified
+FROM leaves l JOIN subroots r ON l.tree = r.tree JOIN tops t ON t.n = 1 JOIN ends e ON e.tree = l.tree AND e.i = l.i
+LEFT JOIN proofs p ON p.tree = l.tree AND p.i = l.i
+"""
+
 SQL: dict[str, str] = {
+    "op13_merkle_manifest": MERKLE,
     "op11_capped_mixture": MIXTURE,
     "op2_divergence_rules": _divergence(),
     "op4_line_dedup": LINE_DEDUP,

@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, divergence, line_dedup, mixing, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
+from priceflow.llm import decontam, divergence, line_dedup, merkle, mixing, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
 
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
 
@@ -62,6 +62,10 @@ def op11_capped_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op11_mixture(table(spark, sf_dir, "documents"))
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.op13_proofs(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_quality_classifier": op1_quality_classifier,
     "op2_divergence_rules": op2_divergence_rules,
@@ -74,4 +78,5 @@ QUERIES: dict[str, Query] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
     "op11_capped_mixture": op11_capped_mixture,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
