@@ -302,6 +302,7 @@ def manifest(docs: DataFrame, given: Column | None = None, height: int = HEIGHT)
         own.alias("digest"),
         F.coalesce(given, own).alias("given") if given is not None else own.alias("given"),
     )
+    rows = hand_off(rows, scratch_path(spark, "merkle-digests"))  # sorting by range reads its input twice
     leaves = hand_off(numbered(rows, "tree", ["doc_id", "digest"]), scratch_path(spark, "merkle-leaves"))
     built = tiers(leaves.select("tree", "n", "digest"), height)
     if not built:
@@ -313,6 +314,7 @@ def manifest(docs: DataFrame, given: Column | None = None, height: int = HEIGHT)
     upper = tiers(tops.select("tree", "n", F.col("subroot").alias("digest")), height)
     top = roots(upper).select(F.col("digest").alias("root"))
     nothing = spark.range(1).select(F.lit("").alias("tree"), F.array().cast(_PATH).alias("path"))
+    nothing = hand_off(nothing, scratch_path(spark, "merkle-top"))
     of_tops = _paths_of_leaves(paths(upper, nothing, height), height).select(F.col("block").alias("n"), "path")
     names = tops.join(of_tops, "n").select(F.col("name").alias("tree"), "subroot", "path")
     names = hand_off(names, scratch_path(spark, "merkle-names"))
