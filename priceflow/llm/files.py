@@ -9,12 +9,25 @@ from __future__ import annotations
 from uuid import uuid4
 
 from pyarrow import fs
+from pyspark.sql import SparkSession
+
+#: Hadoop's schemes and Arrow's names for them; a folder of another scheme is refused on the driver.
+SCHEMES = {"hdfs": "hdfs", "s3a": "s3", "s3": "s3", "gs": "gs", "abfs": "abfs", "abfss": "abfss"}
+
+
+def task_folder(spark: SparkSession, path: str) -> str:
+    """``path`` as tasks must name it: with the scheme of Spark's default file system where it has none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    uri = target.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(target).toUri()
+    if uri.getScheme() == "file":
+        return uri.getPath()
+    if uri.getScheme() not in SCHEMES:
+        raise ValueError(f"tasks can't write files under {uri.toString()}: known are folders of {', '.join(['file', *SCHEMES])}")
+    return f"{SCHEMES[uri.getScheme()]}://{uri.getAuthority()}{uri.getPath()}"
 
 
 def _resolved(path: str) -> tuple[fs.FileSystem, str]:
-    if "://" in path or path.startswith("file:"):
-        return fs.FileSystem.from_uri(path if "://" in path else path.replace("file:", "file://", 1))
-    return fs.LocalFileSystem(), path
+    return fs.FileSystem.from_uri(path) if "://" in path else (fs.LocalFileSystem(), path)
 
 
 def new_file(folder: str, suffix: str) -> str:

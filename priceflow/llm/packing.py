@@ -8,7 +8,9 @@ Method
    re-weighted so that no bin of any packing weighs more than one. Equal to the bound, a packing is certified.
 4. Partitions with a gap keep their full bins and put the pieces of the others into exchange; certified ones exchange
    only what lies in bins with much room. Exchanged pieces are dealt anew to fewer partitions and
-   packed again, until nothing is in exchange, or one partition holds all of it, or it stops to pay.
+   packed again, as long as that saves sequences: until their number is the bound of all pieces, or one partition holds
+   everything in exchange, or a round saves none (then the bins of the round before stay). ``certificate`` reports the bound and
+   the gap that is left.
 
 A task holds one partition's pieces and nothing grows with the table: partitions have a bounded size, and the
 driver sees a few sums per round. Pieces carry their columns through the rounds, so repeated rows stay apart.
@@ -16,7 +18,8 @@ driver sees a few sums per round. Pieces carry their columns through the rounds,
 Inputs out of the ordinary
 - Null or empty text: one piece that holds the end id. An empty table gives no piece.
 - Rows with the same id, or without one, are separate documents.
-- Columns other than id and text are not looked at; ``pack`` passes any further columns of its pieces through.
+- Very long texts become many pieces of one row each. Equal rows are dealt by their place, so they spread over partitions.
+- Columns other than id and text are not looked at; ``pack`` passes any further columns of its pieces through, whatever their names.
 """
 
 from __future__ import annotations
@@ -27,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import LongType, StructField, StructType
 
 from priceflow.llm.text import bound_batches, map_batches
 from priceflow.llm.tokens import encoder
@@ -35,7 +38,6 @@ from priceflow.session import hand_off, scratch_path
 
 CAPACITY = 1024
 PART_PIECES = 20_000
-ROUNDS = 5
 #: Room, as a share of a sequence, beyond which a bin of a certified partition is given up for another try.
 MUCH_ROOM = 1 / 16
 
@@ -52,8 +54,7 @@ def token_pieces(
         encode = encoder(tokenizer).encode
         end = np.array([end_id], "<u4").tobytes()
         out: list[list] = [[] for _ in names]
-        texts = [text or "" for text in batch.column(1).to_pylist()]
-        for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)).of_each()):
             ids += end
             n = len(ids) // 4
             start, piece, until = 0, 0, n % capacity or min(n, capacity)
@@ -114,17 +115,20 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(rooms, np.int64)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIECES, rounds: int = ROUNDS) -> DataFrame:
-    """``pieces`` (with a column length, 1 to ``capacity``) with sequence_id and offset added."""
+_PLACED = (("sequence_id", "long"), ("offset", "long"), ("_kept", "boolean"), ("_bins", "long"), ("_kept_bins", "long"))
+
+
+def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PIECES) -> DataFrame:
+    """``pieces`` (a stored table with a column length, 1 to ``capacity``) with sequence_id and offset, which replace columns of these names."""
     spark = pieces.sparkSession
     bound_batches(spark)
-    names = list(pieces.columns)
-    place = names.index("length")
-    out = StructType(list(pieces.schema.fields))
-    for name, kind in (("sequence_id", "long"), ("offset", "long"), ("_kept", "boolean"), ("_gap", "long")):
+    names = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    rows = pieces.select(F.col("length").cast("int").alias("length"), F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"))
+    out = StructType([*rows.schema.fields, StructField("n", LongType())])
+    for name, kind in _PLACED:
         out = out.add(name, kind)
 
-    def pack_part(turn: int, last: bool):
+    def pack_part(turn: int):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             from pyspark import TaskContext
 
@@ -132,37 +136,50 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, part_pieces: int = PART_PI
             if not held:
                 return
             table = pa.Table.from_batches(held)
-            lengths = table.column(place).to_numpy().astype(np.int64)
+            lengths = table.column("length").to_numpy().astype(np.int64)
             bins, offsets, rooms = best_fit(lengths, capacity)
             gap = len(rooms) - lower_bound(np.bincount(lengths, minlength=capacity + 1), capacity)
             keep = rooms <= (0 if gap else MUCH_ROOM * capacity)
             first = (turn << 56) + (TaskContext.get().partitionId() << 32)
-            added = (first + bins, offsets, np.full(len(bins), True) if last else keep[bins])
-            gaps = np.where(np.arange(len(bins)) == 0, gap, 0)
-            for name, values in zip(("sequence_id", "offset", "_kept", "_gap"), (*added, gaps)):
+            once = np.arange(len(bins)) == 0
+            added = (first + bins, offsets, keep[bins], np.where(once, len(rooms), 0), np.where(once, keep.sum(), 0))
+            for (name, _), values in zip(_PLACED, added):
                 table = table.append_column(name, pa.array(values))
             yield from table.to_batches(10_000)
 
         return run
 
-    done = pieces.where(F.col("length") == capacity).withColumns(
-        {"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("long")}
-    )
-    todo, n, before = pieces.where(F.col("length") < capacity), None, None
-    for turn in range(rounds):
-        n = todo.count() if n is None else n
-        if not n:
-            break
+    placed = [F.col("row." + f"`{c}`").alias(c) for c in names] + [F.col("sequence_id"), F.col("offset")]
+    # Equal rows are dealt to different partitions by the place where they were read.
+    numbered = rows.withColumn("n", F.monotonically_increasing_id())
+    whole = numbered.where(F.col("length") == capacity)
+    done = whole.withColumn("sequence_id", -1 - F.col("n")).withColumn("offset", F.lit(0).cast("long")).select(*placed)
+    bound, finished = bound_of(pieces, capacity), whole.count()
+    todo, open_bins, least, turn = numbered.where(F.col("length") < capacity), None, None, 0
+    while n := todo.count():
         parts = -(-n // part_pieces)
-        last = parts == 1 or turn == rounds - 1 or (before is not None and n > 0.9 * before)
-        dealt = todo.repartition(parts, F.xxhash64(*names, F.lit(turn))) if parts > 1 else todo.coalesce(1)
-        packed = hand_off(dealt.mapInArrow(pack_part(turn, last), out), scratch_path(spark, "packed"))
-        done = done.unionByName(packed.where("_kept").select(*names, "sequence_id", "offset"))
-        todo, before = packed.where("NOT _kept").select(*names), n
-        n = todo.count()
+        dealt = todo.repartition(parts, F.xxhash64("n", F.lit(turn))) if parts > 1 else todo.coalesce(1)
+        packed = hand_off(dealt.mapInArrow(pack_part(turn), out), scratch_path(spark, "packed"))
+        bins, kept = packed.agg(F.sum("_bins"), F.sum("_kept_bins")).first()
+        if least is not None and finished + bins >= least:
+            # Nothing gained: the bins of the round before stay as they are.
+            return done.unionByName(open_bins.select(*placed))
+        least = finished + bins
+        if parts == 1 or least == bound:
+            return done.unionByName(packed.select(*placed))
+        done = done.unionByName(packed.where("_kept").select(*placed))
+        finished, open_bins, turn = finished + kept, packed.where("NOT _kept"), turn + 1
+        todo = open_bins.select("length", "row", "n")
     return done
 
 
+def certificate(packed: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """One row: sequences, bound (no packing of these pieces needs fewer), gap (sequences above the bound)."""
+    bound = F.lit(bound_of(packed, capacity)).cast("long")
+    used = packed.where("offset = 0").agg(F.count("*").alias("sequences"))  # every sequence has one first piece
+    return used.select("sequences", bound.alias("bound"), (F.col("sequences") - bound).alias("gap"))
+
+
 def bound_of(pieces: DataFrame, capacity: int = CAPACITY) -> int:
     """A lower bound of the sequences that all pieces need, from the counts of their lengths."""
     counts = np.zeros(capacity + 1, np.int64)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
 from priceflow.llm import decontam, divergence, line_dedup, merkle, mixing, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
 
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Files of the public tokenizers, found by their name on every executor.
+WORDS, BYTES, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,7 +35,7 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_simple8b_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return simple8b.op5_tokens(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/word_bpe_49k.json")
+    return simple8b.op5_tokens(table(spark, sf_dir, "documents"), WORDS)
 
 
 def op6_warc_normaliser(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +47,7 @@ def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.op8_packing(table(spark, sf_dir, "documents"), f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.op8_packing(table(spark, sf_dir, "documents"), BYTES)
 
 
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -33,7 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from priceflow.llm.files import new_file, read_file, write_file
+from priceflow.llm.files import new_file, read_file, task_folder, write_file
 from priceflow.llm.text import bound_batches, map_batches
 from priceflow.llm.tokens import encoder
 from priceflow.session import hand_off, scratch_path
@@ -238,8 +238,11 @@ FILES = "part long, file_number long, path string, documents long, n_values long
 def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> DataFrame:
     """Write the ids of all texts under ``folder``; the list of files: part, file_number, path, documents, n_values."""
     bound_batches(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    ordered = rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", F.xxhash64("text"))
+    # Rows with one id, or none, are parted by their text and, if that is the same, by their place.
+    place = F.xxhash64(F.monotonically_increasing_id()).alias("place")
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), place)
+    order = ["doc_id", F.xxhash64("text"), "place"]
+    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
 
     def write_part(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -248,8 +251,7 @@ def write(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> DataFram
         encode = encoder(tokenizer).encode
         done: list[tuple] = []
         for batch in batches:
-            texts = [text or "" for text in batch.column(1).to_pylist()]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(texts)):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encode(batch.column(1)).of_each()):
                 writer = writer or Writer(new_file(folder, ".s8b"))
                 writer.add(doc_id, np.append(np.frombuffer(ids, "<u4"), np.uint32(end_id)))
                 if writer.values >= FILE_VALUES:
@@ -299,7 +301,8 @@ def read(files: DataFrame, with_values: bool = True) -> DataFrame:
 
 def op5_tokens(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """The digest, from the files: doc_id, start, n_tokens, ids_crc32."""
-    files = write(docs, tokenizer, end_id, scratch_path(docs.sparkSession, "tokens"))
+    folder = task_folder(docs.sparkSession, scratch_path(docs.sparkSession, "tokens"))
+    files = write(docs, tokenizer, end_id, folder)
     return read(files, with_values=False).select(
         "doc_id", "start", F.col("n_values").alias("n_tokens"), F.col("crc32").alias("ids_crc32")
     )

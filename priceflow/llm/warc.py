@@ -28,7 +28,7 @@ from urllib.parse import quote
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from priceflow.llm.files import new_file, read_file, write_file
+from priceflow.llm.files import new_file, read_file, task_folder, write_file
 from priceflow.llm.text import bound_batches, map_batches
 from priceflow.session import hand_off, scratch_path
 
@@ -237,6 +237,6 @@ def read(index: DataFrame) -> DataFrame:
 def op6_archives(pages: DataFrame) -> DataFrame:
     """The digest, from the archives: page_id, payload_bytes, payload_digest, record_type, refers_to."""
     spark = pages.sparkSession
-    files = write_monolithic(with_origin(pages), scratch_path(spark, "monolithic"))
-    index = normalise_all(files, scratch_path(spark, "normalised"))
+    files = write_monolithic(with_origin(pages), task_folder(spark, scratch_path(spark, "monolithic")))
+    index = normalise_all(files, task_folder(spark, scratch_path(spark, "normalised")))
     return read(index).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

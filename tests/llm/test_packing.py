@@ -8,10 +8,10 @@ import numpy as np
 import pytest
 
 from priceflow.llm import packing
-from priceflow.llm.queries import TOKENIZERS
 
 tokenizers = pytest.importorskip("tokenizers")
-PATH = f"{TOKENIZERS}/byte_bpe_50k.json"
+public_tokenizers = pytest.importorskip("public_tokenizers")
+PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 
 def fewest(lengths, capacity):
@@ -74,5 +74,18 @@ def test_documents_are_packed_whole(docs_of, part_pieces):
     assert all(len(sequences[s]) == 4 * sum(n for _, n in held) for s, held in by_sequence.items())
 
 
+def test_equal_rows_are_spread_and_the_gap_is_reported(spark):
+    rows = spark.range(0, 30_000, 1, 3).selectExpr("cast(null AS long) AS doc_id", "37 AS length", "'x' AS sequence_id", "1 AS n", "2 AS row", "3 AS _kept")
+    spread: list[int] = []
+    dealt = packing.F.xxhash64(packing.F.monotonically_increasing_id(), packing.F.lit(0))
+    spread = [r["count"] for r in rows.repartition(6, dealt).groupBy(packing.F.spark_partition_id()).count().collect()]
+    assert len(spread) == 6 and max(spread) < 6000
+    packed = packing.pack(rows, 64, 5000)
+    assert packed.columns == ["doc_id", "length", "n", "row", "_kept", "sequence_id", "offset"]
+    assert packing.certificate(packed, 64).collect() == [(30_000, 30_000, 0)]
+    halves = spark.range(1001).selectExpr("id AS doc_id", "32 AS length")
+    assert packing.certificate(packing.pack(halves, 64, 100), 64).collect() == [(501, 501, 0)]
+
+
 def test_empty_table(docs_of):
     assert packing.op8_packing(docs_of((1, "x")).where("false"), PATH).count() == 0

@@ -6,10 +6,9 @@ import numpy as np
 import pytest
 
 from priceflow.llm import simple8b
-from priceflow.llm.queries import TOKENIZERS
-from priceflow.llm.tokens import Encoder
 
 tokenizers = pytest.importorskip("tokenizers")
+public_tokenizers = pytest.importorskip("public_tokenizers")
 
 
 @pytest.mark.parametrize("n", [0, 1, 1023, 1024, 1025, 5000])
@@ -41,23 +40,9 @@ def test_files_round_trip(tmp_path, monkeypatch):
     assert all((a == b).all() and len(a) == len(b) for (_, a), (_, b) in zip(read, docs))
 
 
-@pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
-def test_ids_are_those_of_the_tokenizer(name):
-    import random
-
-    rng = random.Random(4)
-    parts = ["a", "The", "don't", " ", " ", "  ", "\n", ".", ",", "!?", "é", "é", "İ", "Σ", "<|endoftext|>", "12", "\t", "\xa0", "\x1c", "​", "中", "\U0001f600", "\x85"]
-    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(3000)]
-    plain = tokenizers.Tokenizer.from_file(f"{TOKENIZERS}/{name}")
-    plain.encode_special_tokens = True
-    found = Encoder(f"{TOKENIZERS}/{name}").encode(texts)
-    expected = [plain.encode(t, add_special_tokens=False).ids for t in texts]
-    assert [np.frombuffer(x, "<u4").tolist() for x in found] == expected
-
-
 def test_documents_come_back_in_order(docs_of):
-    texts = [(7, "some words here"), (None, "no id"), (3, None), (5, "é " * 3000), (3, "")]
-    path = f"{TOKENIZERS}/word_bpe_49k.json"
+    texts = [(7, "some words here"), (None, "no id"), (3, None), (5, "é " * 3000), (3, ""), (9, "an <|endoftext|> in the text")]
+    path = public_tokenizers.path("word_bpe_49k.json")
     rows = sorted(simple8b.op5_tokens(docs_of(*texts), path).collect(), key=lambda r: r.start)
     plain = tokenizers.Tokenizer.from_file(path)
     start, left = 0, {(i, zlib.crc32(np.array(plain.encode(t or "", add_special_tokens=False).ids + [1], "<u4").tobytes())) for i, t in texts}
@@ -65,5 +50,14 @@ def test_documents_come_back_in_order(docs_of):
         assert row.start == start
         assert (row.doc_id, row.ids_crc32) in left
         start += row.n_tokens
-    assert [r.doc_id for r in rows] == [None, 3, 3, 5, 7]
+    assert [r.doc_id for r in rows] == [None, 3, 3, 5, 7, 9]
     assert simple8b.op5_tokens(docs_of((1, "x")).where("false"), path).count() == 0
+
+
+def test_folders_are_named_for_tasks(spark, tmp_path):
+    from priceflow.llm import files
+
+    assert files.task_folder(spark, f"{tmp_path}/a b") == files.task_folder(spark, f"file:{tmp_path}/a b") == f"{tmp_path}/a b"
+    spark._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.tests.link./a", f"file:{tmp_path}")
+    with pytest.raises(ValueError, match="viewfs://tests/a"):
+        files.task_folder(spark, "viewfs://tests/a/b")
