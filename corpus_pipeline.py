@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from priceflow.llm import decontam, line_dedup, near_dup, packing, quality_bayes
-from priceflow.llm.queries import TOKENIZERS, table
+from priceflow.llm.queries import BYTES, table
 from priceflow.session import hand_off, scratch_path
 
 
@@ -31,7 +31,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all documents and their places in training sequences."""
-    return packing.op8_packing(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return packing.op8_packing(docs, BYTES)
 
 
 STAGES = [
