@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from priceflow.llm import decontam, divergence, line_dedup, merkle, mixing, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
+from priceflow.llm import alignment, decontam, divergence, line_dedup, merkle, mixing, near_dup, packing, pii, quality_bayes, secrets, simple8b, warc
 
 #: Files of the public tokenizers, found by their name on every executor.
 WORDS, BYTES, PIECES = "word_bpe_49k.json", "byte_bpe_50k.json", "piece_bpe_32k.model"
@@ -62,6 +62,10 @@ def op11_capped_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.op11_mixture(table(spark, sf_dir, "documents"))
 
 
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.op12_alignment(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.op13_proofs(table(spark, sf_dir, "documents"))
 
@@ -78,5 +82,6 @@ QUERIES: dict[str, Query] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
     "op11_capped_mixture": op11_capped_mixture,
+    "op12_token_alignment": op12_token_alignment,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
