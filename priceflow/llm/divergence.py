@@ -48,9 +48,18 @@ COMMON_WORDS = {
 
 
 def base_counts(docs: DataFrame) -> DataFrame:
-    """doc_id, lang, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
+    """doc_id, lang, text, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, and the characters of each class.
+
+    Classes have no character in common, so each is counted in what the ones before it leave of the text.
+    """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    rest, counts = "text", []
+    for i, kind in enumerate(CLASSES):
+        rows = rows.withColumn(f"rest{i}", F.regexp_replace(rest, f"{kind}+", ""))
+        counts.append((F.length(rest) - F.length(f"rest{i}")).cast("long"))
+        rest = f"rest{i}"
+    rows = rows.withColumn("classes", F.array(*counts)).drop(*(f"rest{i}" for i in range(len(CLASSES))))
     rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1)))
     rows = rows.withColumn("lines", F.filter(F.split("text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]")))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
@@ -72,23 +81,22 @@ def base_counts(docs: DataFrame) -> DataFrame:
         "lang",
         "text",
         "n_words",
-        F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
-        _count("text", SYMBOLS).alias("n_symbols"),
+        (F.length("text") - F.get("classes", F.lit(CLASSES.index(WHITE)))).cast("long").alias("word_chars"),
+        F.get("classes", F.lit(CLASSES.index(SYMBOLS))).alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         n_repeat.cast("long").alias("n_repeat_words"),
+        "classes",
     ).withColumn("base_failed", failed)
 
 
-def _count(text: str, kind: str) -> Column:
-    return (F.length(text) - F.length(F.regexp_replace(text, f"{kind}+", ""))).cast("long")
-
-
 def histograms(rows: DataFrame, common: dict[str, list[str]]) -> DataFrame:
     """``rows`` with classes and common in place of the text: the counts of each bin."""
-    counts = [_count("text", kind) for kind in CLASSES]
-    rows = rows.withColumn("classes", F.array(*counts)).withColumn("n_chars", F.length("text").cast("long"))
+    rows = rows.withColumn("n_chars", F.length("text").cast("long"))
     known = F.create_map(*(F.lit(x) for lang, words in common.items() for x in (lang, words))) if common else F.create_map().cast("map<string,array<string>>")
-    spaced = F.concat(F.lit("  "), F.regexp_replace(F.lower("text"), r"[^\p{L}]+", "  "), F.lit("  "))
+    # Runs of letters between double spaces; those longer than any common word are left out.
+    longest = max((len(w) for words in common.values() for w in words), default=0)
+    runs = rf"\p{{L}}{{{longest + 1},}}|[^\p{{L}}]+"
+    spaced = F.concat(F.lit("  "), F.regexp_replace(F.lower("text"), runs, "  "), F.lit("  "))
     rows = rows.withColumn("spaced", spaced).withColumn("listed", F.coalesce(known[F.col("lang")], F.array().cast("array<string>")))
 
     def times(word: Column) -> Column:
@@ -109,28 +117,41 @@ def references(rows: DataFrame, most_words: int) -> DataFrame:
 
 
 def distance(p: str, q: str) -> Column:
-    """The Jensen-Shannon distance of two histograms; null if one of them is empty."""
-    total = lambda name: F.aggregate(name, F.lit(0.0), lambda a, b: a + b)
+    """The Jensen-Shannon distance of two histograms of shares (``shares``); null if one of them is."""
 
     def part(a: Column, m: Column) -> Column:
         return F.when(a > 0, a * F.log2(a / m)).otherwise(0.0)
 
     def term(a: Column, b: Column) -> Column:
-        a, b = F.coalesce(a, F.lit(0)) / total(p), F.coalesce(b, F.lit(0)) / total(q)
+        a, b = F.coalesce(a, F.lit(0.0)), F.coalesce(b, F.lit(0.0))
         return (part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2
 
     divergence = F.aggregate(F.zip_with(p, q, term), F.lit(0.0), lambda a, b: a + b)
-    return F.when((total(p) > 0) & (total(q) > 0), F.sqrt(F.greatest(F.lit(0.0), divergence)))
+    return F.sqrt(F.greatest(F.lit(0.0), divergence))
+
+
+def shares(rows: DataFrame, *names: str) -> DataFrame:
+    """The named histograms as shares of their sums, null where that is 0."""
+    total = lambda name: F.aggregate(name, F.lit(0.0), lambda a, b: a + b)
+    rows = rows.withColumns({f"{name}_total": total(name) for name in names})
+
+    def of_all(name: str) -> Column:
+        sum_ = F.col(f"{name}_total")
+        return F.when(sum_ > 0, F.transform(name, lambda x: x / sum_))
+
+    rows = rows.withColumns({name: of_all(name) for name in names})
+    return rows.drop(*(f"{name}_total" for name in names))
 
 
 def judged(docs: DataFrame, common: dict[str, list[str]] = COMMON_WORDS, class_limit: float = CLASS_LIMIT, word_limit: float = WORD_LIMIT) -> DataFrame:
     """The base columns, class_distance, word_distance (null where not judged) and kept."""
     counted = hand_off(histograms(base_counts(docs), common), scratch_path(docs.sparkSession, "histograms"))
     known = references(counted, max((len(w) for w in common.values()), default=0)).withColumnRenamed("lang", "of")
+    known = shares(known, "class_reference", "common_reference")
+    counted = shares(counted.withColumn("worded", (F.col("n_words") >= MIN_WORDS) & (F.size("common") > 1)), "classes", "common")
     rows = counted.join(known, F.col("lang").eqNullSafe(F.col("of")), "left")
     rows = rows.withColumn("class_distance", F.when(F.col("n_chars") >= MIN_CHARS, distance("classes", "class_reference")))
-    worded = (F.col("n_words") >= MIN_WORDS) & (F.size("common") > 1)
-    rows = rows.withColumn("word_distance", F.when(worded, distance("common", "common_reference")))
+    rows = rows.withColumn("word_distance", F.when(F.col("worded"), distance("common", "common_reference")))
     far = (F.coalesce("class_distance", F.lit(0.0)) > class_limit) | (F.coalesce("word_distance", F.lit(0.0)) > word_limit)
     return rows.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed",
