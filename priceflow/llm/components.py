@@ -7,16 +7,16 @@ from pyspark.sql import DataFrame, Observation, functions as F
 from priceflow.session import hand_off, scratch_path
 
 
-def _stars(edges: DataFrame, large: bool) -> DataFrame:
+def _star(edges: DataFrame, large: bool) -> DataFrame:
     """Link each node's neighbours (the larger or the smaller ones) to the smallest node around it."""
-    both = edges.select("u", "v").unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    both = edges.select(F.inline(F.array(F.struct("u", "v"), F.struct(F.col("v").alias("u"), F.col("u").alias("v")))))
     mine = both if large else both.where("v < u")
-    least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
-    linked = mine.join(least, "u")
+    least = both.groupBy("u").agg(F.min("v").alias("least"))
+    linked = mine.join(least, "u").withColumn("m", F.least("u", "least"))
     if large:
         return linked.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
-    own = linked.select("u", F.col("m").alias("v"))
-    return linked.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(own).where("u <> v").distinct()
+    pairs = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+    return linked.select(F.inline(pairs)).where("u <> v").distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -28,15 +28,15 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ends in a written table, so no lineage piles up and a lost executor costs one round at most.
     """
     spark = edges.sparkSession
-    current = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
+    current = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     state = None
     while True:
         seen = Observation()
-        stars = _stars(_stars(current, large=True), large=False)
+        stars = _star(_star(current, large=True), large=False)
         stars = stars.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("sum"))
         current = hand_off(stars, scratch_path(spark, "stars"))
         if seen.get == state:
             break
         state = seen.get
-    own = current.select(F.col("v").alias("node"), F.col("v").alias("component"))
-    return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(own).distinct()
+    own = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
+    return hand_off(current.select(F.inline(own)).distinct(), scratch_path(spark, "components"))

@@ -9,10 +9,13 @@ Method
    values, so a list is needed only for the rarest few of a sketch: whoever shares ``c`` of ``r`` values
    shares one of the ``r - c + 1`` rarest. Values that only one class retains use up places of that prefix, so documents
    without relatives leave here, and a very common passage makes a list only of documents that hold little else.
-3. Each list links its members to one of them (the hub), the one with the fewest rarer values, not to one another.
-4. What the hubs leave unconnected is compared as well: members of different components in one list, but only
-   where values rarer than the list's leave room for enough overlap (pairs that share a rarer value meet in that
-   value's list) and the sketches have it. So a group of near copies costs about as many comparisons as it has members.
+3. First most of the groups: in each of ``ROUNDS`` rounds, documents with lists meet at the sketch value that is smallest under the round's
+   order, and each is compared with one of them, the hub: the one with the smallest share of unshared values, the smallest set, or the smallest id. Similar documents
+   share a round's value with a probability of their similarity, so these rounds leave little between different components.
+4. What is then unconnected is compared as well: members of different components in one list, but only in the list of the rarest value
+   that both hold, where no rarer values leave room for enough overlap, and where whole sketches, or bitmaps of the full sets, show that they can be similar. Before that, members that are too large for the smallest
+   member of another component lose their place in a list, and lists that are left with one component go. So a group
+   of near copies, or of documents around one passage, costs about as many comparisons as it has members.
 5. Pairs pass the sketch of the union (how many of its ``k`` smallest values both hold), then the exact similarity
    of the full sets. The result is the components of the links that pass.
 
@@ -45,6 +48,8 @@ SHINGLE = 5
 SIMILARITY = (75, 100)
 K = 48
 WHOLE = 170
+ROUNDS = 6
+BITS = 4096
 
 
 def retained_in_common(k: int, similarity: tuple[int, int]) -> int:
@@ -80,17 +85,26 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE, k: int = K, whole: int
     return map_batches(rows, batch_rows, "doc_id long, n_shingles long, set_key binary, sketch array<long>")
 
 
+def bitmap(values: np.ndarray) -> np.ndarray:
+    """``BITS`` bits in signed words, each set if a value falls on it."""
+    bits = np.zeros(BITS, np.uint8)
+    bits[values & np.uint64(BITS - 1)] = 1
+    return np.packbits(bits, bitorder="little").view(np.int64)
+
+
 def full_sets(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, shingles: the whole set of each row."""
+    """doc_id, shingles and bits: the whole set of each row, and its bitmap."""
 
     def batch_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         for first, before, words, _, _ in word_runs(batch.column(1)):
-            found = [shingle_set(words[a:b], shingle).view(np.int64) for a, b in zip(before, before[1:])]
+            found = [shingle_set(words[a:b], shingle) for a, b in zip(before, before[1:])]
             lengths = np.concatenate([[0], np.cumsum([len(x) for x in found])]).astype(np.int32)
-            sets = pa.ListArray.from_arrays(lengths, pa.array(np.concatenate(found)))
-            yield pa.record_batch([batch.column(0).slice(first, len(found)), sets], ["doc_id", "shingles"])
+            sets = pa.ListArray.from_arrays(lengths, pa.array(np.concatenate(found).view(np.int64)))
+            words_of_each = np.arange(len(found) + 1, dtype=np.int32) * (BITS // 64)
+            bits = pa.ListArray.from_arrays(words_of_each, pa.array(np.concatenate([bitmap(x) for x in found])))
+            yield pa.record_batch([batch.column(0).slice(first, len(found)), sets, bits], ["doc_id", "shingles", "bits"])
 
-    return map_batches(docs.select("doc_id", "text"), batch_rows, "doc_id long, shingles array<long>")
+    return map_batches(docs.select("doc_id", "text"), batch_rows, "doc_id long, shingles array<long>, bits array<long>")
 
 
 LIST = ["kind", "value"]
@@ -143,40 +157,75 @@ def _may_link(similarity: tuple[int, int]) -> Column:
 _MEMBER = ["node", "component", "n_shingles", "retained", "rarer"]
 
 
-def _pairs(joined: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    apart = joined.where(F.col("component") != F.col("other.component")).where(_may_link(similarity))
-    return apart.select(F.least("node", "other.node").alias("a"), F.greatest("node", "other.node").alias("b")).distinct()
-
+def hub_pairs(classes: DataFrame, k: int, rounds: int = ROUNDS) -> DataFrame:
+    """Pairs (a < b) of documents and the hubs that they meet in each round: a, b."""
+    bottom = F.slice("sketch", 1, k)
 
-def hub_pairs(lists: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a < b) of each list's hub with the members of other components: a, b."""
-    hubs = lists.groupBy(*LIST).agg(F.min_by(F.struct(*_MEMBER), F.struct("rarer", "n_shingles", "node")).alias("other"))
-    return _pairs(lists.join(hubs, LIST), similarity)
+    def smallest(turn: int) -> Column:
+        return F.array_min(F.transform(bottom, lambda x: F.xxhash64(x, F.lit(turn))))
 
-
-def remaining_pairs(lists: DataFrame, sketches: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a < b) of one list and different components, with enough retained values in common: a, b."""
-    members = lists.join(sketches, "node")
-    others = members.select(*LIST, F.struct(*_MEMBER, "sketch").alias("other"))
-    joined = members.join(others, LIST).where("node < other.node AND component <> other.component")
-    common = F.size(F.array_intersect("sketch", "other.sketch"))
-    least = _least_overlap(similarity, F.col("n_shingles"), F.col("other.n_shingles"))
-    return _pairs(joined.where(_may_link(similarity)).where(common >= least), similarity)
+    met = classes.select("node", "n_shingles", "unshared", F.posexplode(F.array(*map(smallest, range(rounds)))).alias("turn", "key"))
+    # The origin of edited copies has the least that nobody shares; small sets suit documents around a passage.
+    by_turn = F.when(F.col("turn") % 3 == 1, F.col("n_shingles").cast("double")).when(F.col("turn") % 3 == 0, F.col("unshared"))
+    order = F.struct(by_turn, F.col("node"))
+    hubs = met.groupBy("turn", "key").agg(F.min(order)["node"].alias("hub"), F.count("*").alias("n")).where("n > 1")
+    pairs = met.join(hubs, ["turn", "key"]).where("node <> hub")
+    return pairs.select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b")).distinct()
 
 
 def open_lists(lists: DataFrame, components: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Members of lists that still have several components, with the component of each.
-
-    Only members with enough values that are no rarer than the list's, given any size of the other one.
-    """
+    """Members of lists that may still link with another component in their list, with the component of each."""
     low, high = similarity
     known = lists.join(components, "node", "left").withColumn("component", F.coalesce("component", "node"))
     n = F.col("n_shingles")
+    # Enough values that are no rarer than the list's, given the partner's least size.
     able = known.where(F.col("retained") - F.col("rarer") >= _least_overlap(similarity, n, F.ceil(n * low / high)))
     several = able.groupBy(*LIST).agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
     return able.join(several.select(*LIST), LIST).select(*LIST, *_MEMBER)
 
 
+def pruned(members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``members`` without those that the smallest set of another component in their list is too large for already."""
+    low, high = similarity
+    sizes = members.groupBy(*LIST, "component").agg(F.min("n_shingles").alias("size"))
+    first = sizes.groupBy(*LIST).agg(F.min(F.struct("size", "component")).alias("first"))
+    second = sizes.join(first, LIST).where("component <> first.component").groupBy(*LIST, "first").agg(F.min("size").alias("second"))
+    known = members.join(second, LIST)
+    n = F.col("n_shingles")
+    other = F.when(F.col("component") == F.col("first.component"), F.col("second")).otherwise(F.col("first.size"))
+    # Of whole sketches the overlap that is needed rises with the other's size; of others it is least at the limits.
+    partner = F.greatest(F.ceil(n * low / high), F.when(F.col("kind") == 0, other).otherwise(F.lit(0)))
+    able = (high * n >= low * other) & (F.col("retained") - F.col("rarer") >= _least_overlap(similarity, n, partner))
+    return known.where(able).select(*members.columns)
+
+
+def remaining_pairs(members: DataFrame, held: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a < b) of one list and different components that can be similar, each from the rarest value both hold: a, b.
+
+    ``held`` has node, sketch and bits. Whole sketches tell the overlap. The bitmaps of other sets differ in no more places than
+    the sets in values, so pairs whose bitmaps differ too much can't be similar.
+    """
+    low, high = similarity
+    prefix = members.groupBy("node", "kind").agg(F.sort_array(F.collect_list(F.struct("rarer", "value"))).alias("own"))
+    prefix = prefix.join(held, "node").select(
+        "node",
+        "kind",
+        F.transform("own", lambda x: x["value"]).alias("prefix"),
+        F.when(F.col("kind") == 0, F.col("sketch")).otherwise(F.col("bits")).alias("held"),
+    )
+    full = members.join(prefix, ["node", "kind"])
+    others = full.select(*LIST, F.struct(*_MEMBER, "prefix", "held").alias("other"))
+    rarest = F.get(F.array_intersect("prefix", "other.prefix"), F.lit(0)) == F.col("value")
+    both = F.col("n_shingles") + F.col("other.n_shingles")
+    common = F.size(F.array_intersect("held", "other.held"))
+    places = F.zip_with("held", "other.held", lambda x, y: F.bit_count(x.bitwiseXOR(y)))
+    differing = F.aggregate(places, F.lit(0), lambda x, y: x + y)
+    similar = F.when(F.col("kind") == 0, (low + high) * common >= low * both).otherwise((low + high) * differing <= (high - low) * both)
+    apart = (F.col("node") < F.col("other.node")) & (F.col("component") != F.col("other.component"))
+    joined = full.join(others, LIST).where(apart & _may_link(similarity) & rarest & similar)
+    return joined.select(F.col("node").alias("a"), F.col("other.node").alias("b")).distinct()
+
+
 def verified(pairs: DataFrame, classes: DataFrame, sets: DataFrame, k: int, similarity: tuple[int, int]) -> DataFrame:
     """The pairs that the union's sketch lets through and the full sets confirm: u, v."""
     low, high = similarity
@@ -210,32 +259,39 @@ def near_duplicates(
 
     prints = keep(fingerprints(docs, shingle, k, whole), "fingerprints")
     usable = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
-    first = usable.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    members = usable.join(first, "set_key")
-    classes = members.where("doc_id = node").dropDuplicates(["set_key"])
-    classes = keep(classes.select("node", "set_key", "n_shingles", "sketch"), "classes")
+    own = [F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n_shingles", "sketch"))]
+    classes = keep(usable.groupBy("set_key").agg(*own), "classes")
+    named = classes.select("set_key", F.col("node").alias("class_id"))
+    mapped = keep(prints.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left").drop("set_key"), "members")
+
     lists = keep(sketch_lists(classes, k, whole, similarity), "lists")
-    nodes = lists.join(lists.groupBy(*LIST).agg(F.count("*").alias("n")).where("n > 1"), LIST).select("node").distinct()
+    several = lists.groupBy(*LIST).agg(F.count("*").alias("n")).where("n > 1")
+    nodes = lists.join(several, LIST).groupBy("node").agg(F.min(F.col("rarer") / F.col("retained")).alias("unshared"))
+    related = keep(classes.join(nodes, "node").select("node", "n_shingles", "sketch", "unshared"), "related")
     wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = keep(full_sets(wanted.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi"), shingle), "sets")
+    sets = keep(full_sets(wanted.join(related.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), shingle), "sets")
 
     # An id with several texts is one document: its classes are linked.
-    ranges = members.groupBy("doc_id").agg(F.min("node").alias("u"), F.max("node").alias("high")).where("u < high")
-    edges = keep(members.join(ranges, "doc_id").select("u", F.col("node").alias("v")).distinct(), "shared-ids")
-
-    def confirmed(pairs: DataFrame) -> DataFrame:
-        return keep(verified(pairs, classes, sets, k, similarity), "links")
-
-    edges = edges.unionByName(confirmed(hub_pairs(lists.withColumn("component", F.col("node")), similarity)))
-    components = connected_components(edges)
-    left = keep(open_lists(lists, components, similarity), "open-lists")
+    known = mapped.where("class_id IS NOT NULL AND doc_id IS NOT NULL")
+    ranges = known.groupBy("doc_id").agg(F.min("class_id").alias("u"), F.max("class_id").alias("high")).where("u < high")
+    shared = known.join(ranges, "doc_id").select("u", F.col("class_id").alias("v"))
+    met = verified(hub_pairs(related, k), related, sets, k, similarity)
+    components = connected_components(keep(met.unionByName(shared), "links"))
+    left = keep(pruned(open_lists(lists, components, similarity), similarity), "open-lists")
     if left.count():
-        edges = edges.unionByName(confirmed(remaining_pairs(left, classes.select("node", "sketch"), similarity)))
-        components = connected_components(edges)
-
-    own = prints.select("doc_id", "n_shingles", "set_key").join(first.withColumnRenamed("node", "class_id"), "set_key", "left")
-    own = own.join(components.withColumnRenamed("node", "class_id"), "class_id", "left")
-    result = own.select(
+        held = related.select("node", "sketch").join(sets.select(F.col("doc_id").alias("node"), "bits").distinct(), "node")
+        pairs = keep(remaining_pairs(pruned(left, similarity), held, similarity), "remaining")
+        links = verified(pairs, related, sets, k, similarity)
+        for side in "uv":
+            label = components.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+            links = links.join(label, side, "left").withColumn(side, F.coalesce(f"of_{side}", side)).drop(f"of_{side}")
+        joined = connected_components(keep(links, "late-links"))
+        joined = joined.select(F.col("component").alias("joined"), F.col("node").alias("component"))
+        late = components.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+        lone = joined.join(components.select(F.col("node").alias("component")), "component", "left_anti")
+        components = late.unionByName(lone.select(F.col("component").alias("node"), F.col("joined").alias("component")))
+
+    result = mapped.join(components.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "doc_id",
         "n_shingles",
         F.coalesce("class_id", "doc_id").alias("class_id"),
