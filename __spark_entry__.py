@@ -54,6 +54,26 @@ def s2_typed_scan(inputs: Inputs) -> DataFrame:
     return prices.type_columns(prices.scan_named(inputs.spark, inputs.csv()), date_formats=("iso",))
 
 
+def s2_quoted_line_breaks(inputs: Inputs) -> DataFrame:
+    """A source of which some files have line breaks inside quotes: every record is one row."""
+    root = scratch_path(inputs.spark, "line-breaks")
+    text = prices.scan_named(inputs.spark, inputs.csv())
+    chosen = F.coalesce(F.col("commodity_id").try_cast("int") % 7 == 0, F.lit(False))
+    prices.write_csv(text.where(~chosen), f"{root}/plain")
+    prices.write_csv(text.where(chosen).withColumn("market", F.concat("market", F.lit("\nsecond line"))), f"{root}/quoted")
+
+    def scan(files: list[str], multi_line: bool = False) -> DataFrame:
+        return prices.scan_named(inputs.spark, files, multi_line=multi_line, mark_ragged=True)
+
+    rows, _, _ = prices.route_ragged(
+        hand_off(scan([f"{root}/plain", f"{root}/quoted"]), f"{root}/first"),
+        lambda files: scan(files, multi_line=True),
+        lambda again: hand_off(again, f"{root}/again"),
+    )
+    two_lines = F.count_if(F.col("market").endswith("\nsecond line")).alias("two_lines")
+    return rows.groupBy("priceflag").agg(F.count("*").alias("rows"), two_lines)
+
+
 def s3_source_with_fallback(inputs: Inputs) -> DataFrame:
     missing = f"{inputs.root}/no-such-source"
     source = prices.first_readable(inputs.spark, [missing, inputs.csv()])
@@ -370,6 +390,7 @@ def _over_raw(query: Callable[..., DataFrame], **literals) -> Callable[[Inputs],
 PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "s1_scan_parse": s1_scan_parse,
     "s2_typed_scan": s2_typed_scan,
+    "s2_quoted_line_breaks": s2_quoted_line_breaks,
     "s3_source_with_fallback": s3_source_with_fallback,
     "s4_parquet_hand_off": s4_parquet_hand_off,
     "s5_source_tables": s5_source_tables,

@@ -25,9 +25,9 @@ def clean_strict_typed(text: DataFrame) -> DataFrame:
     columns |= {c: to_int(F.col(c)) for c in ("market_id", "commodity_id")}
     columns |= {c: to_double(F.col(c)) for c in ("latitude", "longitude", "price", "usdprice")}
     columns |= {c: F.nullif(strip(F.col(c)), F.lit("nan")) for c in text_columns(RAW)}
-    typed = text.select(*[columns[c].alias(c) for c in RAW.names])
-    # Catalyst moves the null filter below the fold: fewer rows are shuffled, but what stays is converted twice.
-    return complete_rows(typed.distinct()).withColumnsRenamed(STRICT_RENAMES)
+    # As a row of a generated table the values are computed once: filters can't be moved below it and repeat the conversions.
+    typed = text.select(F.inline(F.array(F.struct(*[columns[c].alias(c) for c in RAW.names]))))
+    return complete_rows(typed).distinct().withColumnsRenamed(STRICT_RENAMES)
 
 
 def complete_rows(df: DataFrame) -> DataFrame:

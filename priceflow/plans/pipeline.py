@@ -16,7 +16,9 @@ from priceflow.plans import strict_queries
 from priceflow.plans.load import load_star
 from priceflow.schemas import CLEANED, storage_schema
 from priceflow.session import hand_off, remove_path
-from priceflow.sources.prices import WIDE, open_first, replace_table, scan_text, type_columns, unread_counts
+from priceflow.sources.prices import (
+    RAGGED, WIDE, open_first, replace_table, route_ragged, scan_named, scan_text, type_columns, unread_counts,
+)
 from priceflow.sources.warehouse import Warehouse
 
 
@@ -58,7 +60,8 @@ def run_pipeline(
     """One batch into the warehouse at ``root``, from the first of ``sources`` that can be read.
 
     The summary names the source, the sources that failed before it, and how many texts of each column
-    could not be read as numbers.
+    could not be read as numbers. Files with line breaks inside quotes are read as such (``multi_line_files``); records that
+    have too many or too few fields all the same are counted by file (``ragged``) and kept, with a reason, in the table ``broken_records``.
 
     Rows dated at or before the last load are dropped, also when they are new: the mark is a date.
     ``gate="critical"`` ends the run on an empty batch only, with a status; ``"strict"`` raises when
@@ -70,10 +73,26 @@ def run_pipeline(
     summary = {"status": "started", "load_id": load_id}
     try:
         mark = warehouse.high_water_mark() if incremental and not full_reload else None
-        source = open_first(spark, sources, row_seq=True)
+        source = open_first(spark, sources, row_seq=True, mark_ragged=True)
         summary |= {"source": source.path, "source_failures": list(source.failures)}
-        typed = type_columns(source.rows, price=WIDE, date_formats=None, coordinate=WIDE, unread="unread")
-        raw = hand_off(incremental_filter(typed, mark, date_formats), f"{work_dir}/raw")
+
+        def extracted(rows: DataFrame) -> DataFrame:
+            """Typed and new rows, and all ragged records: their dates may be those of other fields."""
+            typed = type_columns(rows, price=WIDE, date_formats=None, coordinate=WIDE, unread="unread")
+            if mark is None:
+                return typed
+            kept = incremental_filter(typed.where(F.col(RAGGED).isNull()), mark, date_formats)
+            return kept.unionByName(typed.where(F.col(RAGGED).isNotNull()))
+
+        stored = hand_off(extracted(source.rows), f"{work_dir}/raw")
+        raw, broken, found = route_ragged(
+            stored,
+            lambda files: scan_named(spark, files, row_seq=True, multi_line=True, mark_ragged=True),
+            lambda rows: hand_off(extracted(rows), f"{work_dir}/raw-multi-line"),
+        )
+        summary |= found
+        if found["ragged"] and not dry_run:
+            broken.write.mode("overwrite").parquet(warehouse.path("broken_records", load_id))
         summary["rows_extracted"] = raw.count()
         summary["unread"] = {r["column_name"]: r["rows"] for r in unread_counts(raw, "unread").collect()}
         raw = raw.drop("unread")

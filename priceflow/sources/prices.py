@@ -19,6 +19,7 @@ _TEXT_SCHEMA = T.StructType([T.StructField(name, T.StringType()) for name in RAW
 _CSV = {"header": True, "quote": '"', "escape": '"', "encoding": "UTF-8"}
 
 ROW_SEQ = "row_seq"
+RAGGED, SOURCE_FILE = "_ragged", "_source_file"
 
 
 # Wide enough for any price or coordinate that a source may hold; declared widths are checked at the load.
@@ -43,15 +44,56 @@ def scan_named(
     missing: Sequence[str] = MISSING_TOKENS,
     row_seq: bool = False,
     multi_line: bool = False,
+    mark_ragged: bool = False,
 ) -> DataFrame:
     """The columns that the header names, as text; every spelling in ``missing`` is null.
 
     All files of ``path`` must have the same header; one that differs fails the query that reads it.
-    ``multi_line`` reads line breaks inside quotes; a file is then one task and can't be split.
+    ``multi_line`` reads line breaks inside quotes; a file is then one task and can't be split. ``mark_ragged`` adds
+    ``RAGGED``, the text of a record with more or fewer fields than the header (null of others), and ``SOURCE_FILE``.
     """
-    lines = spark.read.options(**_CSV, multiLine=multi_line, enforceSchema=False).csv(path)
-    fields = [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in lines.columns]
-    return lines.select(*fields, *_row_seq(row_seq))
+    reader = spark.read.options(**_CSV, multiLine=multi_line, enforceSchema=False)
+    names = reader.csv(path).columns
+    marks = []
+    if mark_ragged:
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in [*names, RAGGED]])
+        # All columns are parsed: a parser that skips some does not see that a record is short.
+        reader = reader.schema(schema).options(columnNameOfCorruptRecord=RAGGED, columnPruning=False)
+        marks = [F.col(RAGGED), F.col("_metadata.file_path").alias(SOURCE_FILE)]
+    fields = [F.when(~F.col(f"`{c}`").isin(*missing), F.col(f"`{c}`")).alias(c) for c in names]
+    return reader.csv(path).select(*fields, *marks, *_row_seq(row_seq))
+
+
+def route_ragged(
+    plain: DataFrame, reread: Callable[[list[str]], DataFrame], store: Callable[[DataFrame], DataFrame]
+) -> tuple[DataFrame, DataFrame, dict]:
+    """The rows of whole records, the records set apart, and what was found, from a stored scan with ``mark_ragged``.
+
+    A file with ragged records may have line breaks inside quotes, which parts its records. Such files, and no others, are read
+    again with ``reread`` (a scan of files with ``multi_line``) and stored by ``store``. Each file keeps the reading that has fewer ragged
+    records: an open quote that nobody closes would swallow the records behind it. What is ragged then is set apart with
+    its file and a reason. The driver sees one row for each file with ragged records.
+    """
+
+    def ragged_by_file(rows: DataFrame) -> dict[str, int]:
+        counts = rows.where(F.col(RAGGED).isNotNull()).groupBy(SOURCE_FILE).agg(F.count("*").alias("n"))
+        return {r[SOURCE_FILE]: r.n for r in counts.collect()}
+
+    before = ragged_by_file(plain)
+    rows, joined = plain, []
+    if before:
+        again = store(reread(sorted(before)))
+        after = ragged_by_file(again)
+        joined = sorted(file for file in before if after.get(file, 0) < before[file])
+        if joined:
+            rows = plain.where(~F.col(SOURCE_FILE).isin(joined)).unionByName(again.where(F.col(SOURCE_FILE).isin(joined)))
+    quotes = F.length(RAGGED) - F.length(F.replace(F.col(RAGGED), F.lit('"'), F.lit("")))
+    reason = F.when(quotes % 2 == 1, "open quote").otherwise("wrong number of fields")
+    apart = rows.where(F.col(RAGGED).isNotNull())
+    apart = apart.select(F.col(SOURCE_FILE).alias("file"), reason.alias("reason"), F.col(RAGGED).alias("record"))
+    left = ragged_by_file(rows) if before else {}
+    found = {"multi_line_files": joined, "ragged": left}
+    return rows.where(F.col(RAGGED).isNull()).drop(RAGGED, SOURCE_FILE), apart, found
 
 
 def ragged_rows(spark: SparkSession, path: str | list[str], multi_line: bool = False) -> DataFrame:

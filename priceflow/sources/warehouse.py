@@ -144,7 +144,7 @@ class Warehouse:
             replaced = set()
         published = {load.load_id for load in loads}
         removed = []
-        for table in [*TABLES, "rejected"]:
+        for table in [*TABLES, "rejected", "broken_records"]:
             for name, changed in list_folders(self.spark, self.path(table)):
                 load_id = name.removeprefix("load_id=")
                 old = now.timestamp() - changed >= older_than.total_seconds()

@@ -91,3 +91,30 @@ def test_incremental_filter_prunes_years(spark, tmp_path):
     assert rows(newer, "date") == [(D2,)]
     assert "PartitionFilters: [isnotnull(year" in newer._jdf.queryExecution().toString()
     assert incremental_filter(stored, None).count() == 3
+
+
+def test_broken_records_are_routed_by_file(spark, source, tmp_path):
+    folder = tmp_path / "in"
+    folder.mkdir()
+
+    def write(name, *observations, change=lambda text: text):
+        path = source(name, *observations)
+        (folder / name).write_text(change(open(path).read()))
+
+    write("a.csv", ("2020-01-01", 1, 90), ("2020-01-02", 1, 91))
+    write("b.csv", ("2020-01-01", 2, 90), ("2020-01-03", 2, 92), change=lambda t: t.replace(" hola (tana)", '"hola\n(tana, ""old"")"', 1))
+    write("c.csv", ("2020-01-01", 3, 90), ("2020-01-02", 3, 91), ("2020-01-03", 3, 91), change=lambda t: t.replace(",kes,91,", ",91,", 1))
+    write("d.csv", ("2020-01-01", 4, 90), ("2020-01-02", 4, 91), ("2020-01-03", 4, 92), change=lambda t: t.replace("cereals", '"cereals', 1))
+    root = str(tmp_path / "w")
+    summary = run_pipeline(spark, [str(folder)], root)
+    names = lambda files: [f.rsplit("/", 1)[1] for f in files]
+    assert summary["status"] == "success" and names(summary["multi_line_files"]) == ["b.csv"]
+    assert sorted(zip(names(summary["ragged"]), summary["ragged"].values())) == [("c.csv", 1), ("d.csv", 1)]
+    assert [(c, str(d)) for d, c, _ in sorted(facts(spark, root), key=lambda r: (r[1], r[0]))] == [
+        (1, "2020-01-01"), (1, "2020-01-02"), (2, "2020-01-01"), (2, "2020-01-03"),
+        (3, "2020-01-01"), (3, "2020-01-03"), (4, "2020-01-02"), (4, "2020-01-03"),
+    ]
+    kept = spark.read.parquet(f"{root}/broken_records").select("file", "reason").collect()
+    assert sorted((names([r.file])[0], r.reason) for r in kept) == [("c.csv", "wrong number of fields"), ("d.csv", "open quote")]
+    later = run_pipeline(spark, [str(folder)], root)
+    assert later["status"] == "no_new_data" and len(later["ragged"]) == 2

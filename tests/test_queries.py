@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 from decimal import Decimal
 
+import pytest
 from base_helpers import rows
 
 from priceflow.plans import star_queries, strict_queries
@@ -90,3 +91,19 @@ def test_equals_share_the_last_rank(spark):
     )
     top = star_queries.monthly_top_commodities(staging).where("price_month = '2020-01-01'")
     assert rows(top, "commodity", "price_rank") == [("a", 1), ("b", 2), ("c", 2), ("d", 4), ("e", 5), ("f", 5)]
+
+
+def test_deviation_of_groups_beyond_ten_billion_rows(spark):
+    """Partial rows as a fold gives them, with counts that no test table could hold."""
+    n = 30_000_000_000
+    parts = [(n, f"{n}.0000", f"{n}.00000000"), (n, f"{3 * n}.0000", f"{9 * n}.00000000")]
+    text = spark.createDataFrame(parts, "usd_count bigint, total string, squares string")
+    folded = text.selectExpr("usd_count", "cast(total AS decimal(22,4)) AS usd_sum", "cast(squares AS decimal(38,8)) AS usd_squares")
+    assert folded.agg(star_queries._deviation_of_parts("usd").alias("d")).first().d == pytest.approx(1.0, rel=1e-9)
+    small = [(2, "0.0003", "0.00000005"), (1, "99999999.9999", "9999999999999980.00000001")]
+    found = []
+    for row in small:
+        one = spark.createDataFrame([row], "usd_count bigint, total string, squares string")
+        one = one.selectExpr("usd_count", "cast(total AS decimal(22,4)) AS usd_sum", "cast(squares AS decimal(38,8)) AS usd_squares")
+        found.append(one.agg(star_queries._deviation_of_parts("usd").alias("d")).first().d)
+    assert found == [pytest.approx(0.0000707, rel=1e-3), None]
