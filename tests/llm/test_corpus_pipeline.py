@@ -15,7 +15,7 @@ pytest.importorskip("tokenizers")
 
 
 def test_every_operator_is_registered():
-    assert {f"op{n}" for n in range(1, 11)} == {name.split("_")[0] for name in queries.QUERIES}
+    assert {f"op{n}" for n in range(1, 14)} == {name.split("_")[0] for name in queries.QUERIES}
     assert (queries.QUERIES.keys() | {"pipeline"}) <= contract.queries().keys()
     assert oracle.SQL.keys() <= contract.oracle_sql().keys()
     assert [name for name, _ in corpus_pipeline.STAGES][0] == "quality classifier"
