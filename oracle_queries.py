@@ -335,7 +335,7 @@ def oracles() -> dict[str, str]:
             f"{out(*RAW_COLUMNS[1:])} FROM source",
         ),
         "s2_quoted_line_breaks": over(
-            "raw", "SELECT priceflag, count(*) AS rows, count_if(commodity_id % 7 = 0) AS two_lines FROM raw GROUP BY priceflag"
+            "raw", "SELECT priceflag, count(*) AS rows, CAST(count_if(commodity_id % 7 = 0) AS BIGINT) AS two_lines FROM raw GROUP BY priceflag"
         ),
         "s3_source_with_fallback": over("source", "SELECT priceflag, count(*) AS rows FROM source GROUP BY priceflag"),
         "s4_parquet_hand_off": over("raw", f"SELECT {out(*RAW_COLUMNS)} FROM raw"),
