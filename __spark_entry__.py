@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime
 import importlib.util
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -16,6 +17,7 @@ from priceflow.operators.geofill import geo_fill
 from priceflow.plans import load, models, pipeline, star_queries, strict_queries
 from priceflow.session import hand_off, scratch_path
 from priceflow.sources import prices
+from priceflow.sources.versions import VersionedTables
 from priceflow.sources.warehouse import TABLES, Warehouse
 
 # An optional part, which nothing else imports. Where it is there, a failing import of it is an error.
@@ -90,15 +92,31 @@ def s5_source_tables(inputs: Inputs) -> DataFrame:
     return inputs.spark.sql(" UNION ALL ".join(counts))
 
 
+def s5_compacted_tables(inputs: Inputs) -> DataFrame:
+    """The tables after one load for each year and a compaction of them all."""
+    root = scratch_path(inputs.spark, "compacted")
+    warehouse, enriched = Warehouse(inputs.spark, root), inputs.enriched()
+    years = [r.year for r in enriched.select("year").distinct().orderBy(F.col("year").asc_nulls_last()).collect()]
+    for year in years:
+        rows = enriched.where(F.col("year").eqNullSafe(year))
+        load.load_star(rows, warehouse, f"{root}/_work/{year}", f"year-{year}", on_violation="reject")
+    load.compact(warehouse)
+    counts = [warehouse.read(t).agg(F.lit(t).alias("table_name"), F.count("*").alias("rows")) for t in TABLES]
+    folders = F.lit(max(len(warehouse.live_loads(t)) for t in TABLES))
+    return reduce(DataFrame.unionAll, counts).withColumn("folders", folders)
+
+
 def _rows_by_type(df: DataFrame) -> DataFrame:
     return df.groupBy("pricetype").agg(F.count("*").alias("rows"))
 
 
 def k1_replace_raw(inputs: Inputs) -> DataFrame:
-    path = scratch_path(inputs.spark, "replaced")
-    prices.replace_table(inputs.raw(), path)
-    prices.replace_table(inputs.raw(), path)
-    return _rows_by_type(inputs.spark.read.parquet(path))
+    tables = VersionedTables(inputs.spark, scratch_path(inputs.spark, "replaced"))
+    for _ in range(2):
+        version = tables.new_version()
+        version.write("raw", inputs.raw())
+        tables.publish(version)
+    return _rows_by_type(tables.read("raw"))
 
 
 def k2_append_raw(inputs: Inputs) -> DataFrame:
@@ -114,7 +132,7 @@ def _strict_table(name: str) -> Callable[[Inputs], DataFrame]:
     def run(inputs: Inputs) -> DataFrame:
         root = scratch_path(inputs.spark, "strict")
         pipeline.run_strict(inputs.spark, [f"{root}/none", inputs.csv()], root)
-        return inputs.spark.read.parquet(f"{root}/{name}")
+        return VersionedTables(inputs.spark, root).read(name)
 
     return run
 
@@ -126,7 +144,7 @@ def k4_load_staging(inputs: Inputs) -> DataFrame:
 def _table_counts(warehouse: Warehouse) -> DataFrame:
     """The counts of the last load, one row for each table."""
     loads = warehouse.spark.read.schema("load_id string, committed_at timestamp, " + ", ".join(
-        f"{t} bigint" for t in load.COUNTED)).parquet(warehouse.path("loads"))
+        f"{t} bigint" for t in load.COUNTED)).json(warehouse.path("loads"))
     last = loads.orderBy(F.desc("committed_at")).limit(1)
     rows = [F.struct(F.lit(t).alias("table_name"), F.col(t).alias("rows")) for t in load.COUNTED]
     return last.select(F.inline(F.array(*rows)))
@@ -394,6 +412,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "s3_source_with_fallback": s3_source_with_fallback,
     "s4_parquet_hand_off": s4_parquet_hand_off,
     "s5_source_tables": s5_source_tables,
+    "s5_compacted_tables": s5_compacted_tables,
     "k1_replace_raw": k1_replace_raw,
     "k2_append_raw": k2_append_raw,
     "k3_create_table_as": _strict_table("avg_price_per_category"),

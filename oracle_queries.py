@@ -345,6 +345,12 @@ def oracles() -> dict[str, str]:
             UNION ALL SELECT 'dim_date', count(*) FROM dim_date UNION ALL SELECT 'dim_commodity', count(*) FROM dim_commodity
             UNION ALL SELECT 'dim_market', count(*) FROM dim_market UNION ALL SELECT 'fact_prices', count(*) FROM fact""",
         ),
+        "s5_compacted_tables": over(
+            "staging dim_date dim_commodity dim_market fact",
+            """SELECT *, 1 AS folders FROM (SELECT 'stg_cleaned_prices' AS table_name, count(*) AS rows FROM staging
+            UNION ALL SELECT 'dim_date', count(*) FROM dim_date UNION ALL SELECT 'dim_commodity', count(*) FROM dim_commodity
+            UNION ALL SELECT 'dim_market', count(*) FROM dim_market UNION ALL SELECT 'fact_prices', count(*) FROM fact)""",
+        ),
         "k1_replace_raw": over("raw", "SELECT pricetype, count(*) AS rows FROM raw GROUP BY pricetype"),
         "k2_append_raw": over("raw", "SELECT pricetype, 2 * count(*) AS rows FROM raw GROUP BY pricetype"),
         "k3_create_table_as": over("cleaned", CATEGORY),

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from priceflow import schemas
 from priceflow.operators import dimensions
 from priceflow.operators.constraints import declared_rules, required
-from priceflow.session import hand_off
+from priceflow.session import hand_off, remove_path
 from priceflow.sources.warehouse import DIMENSIONS, TABLES, Warehouse
 
 COUNTED = ("staging", "dim_date", "dim_commodity", "dim_market", "fact_prices", "rejected")
@@ -29,6 +29,7 @@ def load_star(
     load_id: str | None = None,
     full_reload: bool = False,
     on_violation: str = "fail",
+    incremental: bool = False,
 ) -> dict[str, int]:
     """Append ``cleaned`` as one load and return the rows per table; dimensions count what the batch
     holds, also where the key was there before.
@@ -36,12 +37,14 @@ def load_star(
     ``cleaned`` is read several times and should be a stored table. ``on_violation="fail"`` stops when
     a row breaks a declared constraint; ``"reject"`` keeps such rows, with the rules, in the table ``rejected`` instead.
     A ``load_id`` that is already published is not loaded again.
+
+    When another writer publishes first, the load is brought up to date and tried again: its keys follow the other's, its
+    dimensions hold only keys that are still new, and with ``incremental`` it drops rows up to the new last date.
     """
-    spark = warehouse.spark
     load_id = load_id or uuid4().hex
-    for done in warehouse.loads():
-        if done.load_id == load_id:
-            return {table: done[table] for table in COUNTED}
+    done = _published_counts(warehouse, load_id)
+    if done:
+        return done
 
     def set_apart(rows: DataFrame, part: str) -> int:
         return _store(rows, f"{warehouse.path('rejected', load_id)}/part={part}").count()
@@ -63,51 +66,95 @@ def load_star(
         "dim_commodity": lambda rows: dimensions.commodity_dimension(rows, work_dir),
         "dim_market": lambda rows: dimensions.market_dimension(rows, work_dir),
     }
-    counts = {}
-    for table, key in DIMENSIONS.items():
-        batch = _store(candidates[table](cleaned), f"{work_dir}/{table}")
-        new = dimensions.insert_if_absent(warehouse.read(table), batch, key)
-        # The first row of a key gives its attributes. A new key whose first row lacks one can't be loaded.
-        lacking = reduce(or_, [F.col(c).isNull() for c in required(TABLES[table])])
-        n_lacking = new.where(lacking).count() if table != "dim_date" else 0
-        if n_lacking and on_violation != "reject":
-            raise ConstraintViolation(f"{n_lacking} new keys of {table} lack a required attribute in their first row")
-        if n_lacking:
-            keys = hand_off(new.where(lacking).select(key), f"{work_dir}/{table}-lacking")
-            lost = cleaned.join(keys, key, "left_semi").withColumn("broken", F.array(F.lit(f"{table}.attributes")))
-            rejected_rows += set_apart(lost, table)
-            cleaned = cleaned.join(keys, key, "left_anti")
-            new = new.where(~lacking)
-        _store(conform(new, TABLES[table]), warehouse.path(table, load_id))
-        counts[table] = batch.count() - n_lacking
-
-    current = [] if full_reload else warehouse.current_loads()
-    facts = _store_by_year(
-        conform(fact_rows(cleaned), schemas.FACT, "fact_id", _next_id(current, "last_fact_id")),
-        "date_id",
-        warehouse.path("fact_prices", load_id),
-    )
-    staged = _store_by_year(
-        conform(cleaned, schemas.STAGING, "id", _next_id(current, "last_id")),
-        "date",
-        warehouse.path("stg_cleaned_prices", load_id),
-    )
-    fact_end = facts.agg(F.count("*").alias("rows"), F.max("fact_id").alias("last_id")).first()
-    staged_end = staged.agg(
-        F.count("*").alias("rows"), F.max("id").alias("last_id"), F.max("date").alias("last_date")
-    ).first()
-    counts |= {"staging": staged_end.rows, "fact_prices": fact_end.rows, "rejected": rejected_rows}
-    warehouse.publish(
-        counts
-        | {
+
+    def write(cleaned: DataFrame) -> dict:
+        """Write the load's folders against the loads that the warehouse object has read; the row that publishes them."""
+        counts = {"rejected": rejected_rows}
+        for table, key in DIMENSIONS.items():
+            batch = _store(candidates[table](cleaned), f"{work_dir}/{table}")
+            new = dimensions.insert_if_absent(warehouse.read(table), batch, key)
+            # The first row of a key gives its attributes. A new key whose first row lacks one can't be loaded.
+            lacking = reduce(or_, [F.col(c).isNull() for c in required(TABLES[table])])
+            n_lacking = new.where(lacking).count() if table != "dim_date" else 0
+            if n_lacking and on_violation != "reject":
+                raise ConstraintViolation(f"{n_lacking} new keys of {table} lack a required attribute in their first row")
+            if n_lacking:
+                keys = hand_off(new.where(lacking).select(key), f"{work_dir}/{table}-lacking")
+                lost = cleaned.join(keys, key, "left_semi").withColumn("broken", F.array(F.lit(f"{table}.attributes")))
+                counts["rejected"] += set_apart(lost, table)
+                cleaned = cleaned.join(keys, key, "left_anti")
+                new = new.where(~lacking)
+            _store(conform(new, TABLES[table]), warehouse.path(table, load_id))
+            counts[table] = batch.count() - n_lacking
+
+        current = [] if full_reload else warehouse.current_loads()
+        facts = _store_by_year(
+            conform(fact_rows(cleaned), schemas.FACT, "fact_id", _next_id(current, "last_fact_id")),
+            "date_id",
+            warehouse.path("fact_prices", load_id),
+        )
+        staged = _store_by_year(
+            conform(cleaned, schemas.STAGING, "id", _next_id(current, "last_id")),
+            "date",
+            warehouse.path("stg_cleaned_prices", load_id),
+        )
+        fact_end = facts.agg(F.count("*").alias("rows"), F.max("fact_id").alias("last_id")).first()
+        staged_end = staged.agg(
+            F.count("*").alias("rows"), F.max("id").alias("last_id"), F.max("date").alias("last_date")
+        ).first()
+        return counts | {
+            "staging": staged_end.rows,
+            "fact_prices": fact_end.rows,
             "load_id": load_id,
             "full_reload": full_reload,
             "last_date": staged_end.last_date,
             "last_id": staged_end.last_id,
             "last_fact_id": fact_end.last_id,
         }
-    )
-    return {table: counts[table] for table in COUNTED}
+
+    row = write(cleaned)
+    while not warehouse.publish(row):
+        warehouse.refresh()
+        done = _published_counts(warehouse, load_id)
+        if done:
+            return done
+        for table in DIMENSIONS:
+            remove_path(warehouse.spark, f"{warehouse.path('rejected', load_id)}/part={table}")
+        mark = warehouse.high_water_mark() if incremental and not full_reload else None
+        row = write(cleaned if mark is None else cleaned.where(F.col("date") > F.lit(mark)))
+    return {table: row[table] for table in COUNTED}
+
+
+def _published_counts(warehouse: Warehouse, load_id: str) -> dict[str, int] | None:
+    return next(({t: done[t] for t in COUNTED} for done in warehouse.loads() if done.load_id == load_id), None)
+
+
+def compact(warehouse: Warehouse, load_id: str | None = None) -> int:
+    """Write the rows of all loads into the folders of one new load, and return how many loads it replaces.
+
+    A scan opens one folder for each load; after this it opens one, and one for each later load. Rows, keys and load
+    times stay as they are. Readers are not disturbed, as ``Warehouse.vacuum`` removes the old folders later. Loads that
+    others publish meanwhile stay beside the new one; after a full reload or another compaction the rows are gathered again.
+    """
+    load_id = load_id or f"compact-{uuid4().hex}"
+    warehouse.refresh()
+    while True:
+        read = {table: warehouse.live_loads(table) for table in TABLES}
+        replaced = sorted({name for names in read.values() for name in names})
+        if len(replaced) < 2:
+            return 0
+        for table in TABLES:
+            rows, path = warehouse.read(table), warehouse.path(table, load_id)
+            if table in DIMENSIONS:
+                _store(rows.hint("rebalance"), path)
+            else:
+                date = "date_id" if table == "fact_prices" else "date"
+                _store_by_year(rows.withColumn("year", F.year(date)).hint("rebalance", "year"), date, path)
+        row = dict.fromkeys(COUNTED, 0) | {"load_id": load_id, "full_reload": False, "replaces": replaced}
+        while all(set(names) <= set(warehouse.live_loads(table)) for table, names in read.items()):
+            if warehouse.publish(row):
+                return len(replaced)
+            warehouse.refresh()
 
 
 #: What every row needs: the keys of the fact table, and the date of the staging table.

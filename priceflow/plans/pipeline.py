@@ -17,8 +17,9 @@ from priceflow.plans.load import load_star
 from priceflow.schemas import CLEANED, storage_schema
 from priceflow.session import hand_off, remove_path
 from priceflow.sources.prices import (
-    RAGGED, WIDE, open_first, replace_table, route_ragged, scan_named, scan_text, type_columns, unread_counts,
+    RAGGED, WIDE, open_first, route_ragged, scan_named, scan_text, type_columns, unread_counts,
 )
+from priceflow.sources.versions import VersionedTables
 from priceflow.sources.warehouse import Warehouse
 
 
@@ -113,7 +114,7 @@ def run_pipeline(
 
         if dry_run:
             return summary | {"status": "dry_run_complete"}
-        summary["load"] = load_star(cleaned, warehouse, work_dir, load_id, full_reload, on_violation)
+        summary["load"] = load_star(cleaned, warehouse, work_dir, load_id, full_reload, on_violation, incremental)
         return summary | {"status": "success"}
     finally:
         remove_path(spark, work_dir)
@@ -122,27 +123,29 @@ def run_pipeline(
 def run_strict(
     spark: SparkSession, sources: Sequence[str], root: str, date_formats: tuple[str, ...] = ("iso", "dmy")
 ) -> dict:
-    """The strict pipeline as one job: raw, cleaned and both aggregate tables under ``root``, each replaced.
+    """The strict pipeline as one job: raw, cleaned and both aggregate tables of ``VersionedTables(spark, root)``, replaced
+    together at the end. A run that fails before leaves all four as they were.
 
     Aggregates are stored without the order of their queries; readers that need one name it. The summary counts the
     texts that could not be read, which the strict cleaning drops with their rows.
     """
+    tables = VersionedTables(spark, root)
+    version = tables.new_version()
     source = open_first(spark, sources, scan=scan_text)
-    typed = type_columns(source.rows, date_formats=date_formats, unread="unread")
-    typed.write.mode("overwrite").parquet(f"{root}/raw")
-    raw = spark.read.parquet(f"{root}/raw")
+    raw = version.write("raw", type_columns(source.rows, date_formats=date_formats, unread="unread"))
     unread = {r["column_name"]: r["rows"] for r in unread_counts(raw, "unread").collect()}
-    replace_table(clean_strict(raw), f"{root}/cleaned")
-    cleaned = spark.read.parquet(f"{root}/cleaned")
+    cleaned = version.write("cleaned", clean_strict(raw))
     declared = [(f.name, f.dataType) for f in storage_schema(CLEANED).fields]
     if [(f.name, f.dataType) for f in cleaned.schema.fields] != declared:
         raise TypeError(f"the cleaned table is not as declared: {cleaned.schema.simpleString()}")
     for name in ("avg_price_per_commodity_year", "avg_price_per_category"):
-        replace_table(getattr(strict_queries, name)(cleaned, ordered=False), f"{root}/{name}")
-    return {
+        version.write(name, getattr(strict_queries, name)(cleaned, ordered=False))
+    summary = {
         "source": source.path,
         "source_failures": list(source.failures),
         "unread": unread,
         "rows_raw": raw.count(),
         "rows_cleaned": cleaned.count(),
     }
+    tables.publish(version)
+    return summary

@@ -6,6 +6,7 @@ import tempfile
 from functools import lru_cache
 from uuid import uuid4
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -76,3 +77,31 @@ def list_folders(spark: SparkSession, path: str) -> list[tuple[str, float]]:
 def remove_path(spark: SparkSession, path: str) -> None:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file under a name that nobody has taken; whether that went well.
+
+    The file is written under a hidden name and then renamed, without replacing, so readers see it whole or not at all.
+    Of two writers one gets the name where the store decides that in one step, as HDFS does.
+    """
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    settings = spark._jsc.hadoopConfiguration()
+    target = hadoop.Path(path)
+    store = target.getFileSystem(settings)
+    target = store.makeQualified(target)
+    draft = hadoop.Path(target.getParent(), f"_draft-{uuid4().hex}")
+    stream = store.create(draft, False)
+    stream.write(bytearray(text, "utf-8"))
+    stream.close()
+    rename = getattr(hadoop, "Options$Rename")
+    keep_existing = spark.sparkContext._gateway.new_array(rename, 1)
+    keep_existing[0] = rename.NONE
+    try:
+        hadoop.FileContext.getFileContext(target.toUri(), settings).rename(draft, target, keep_existing)
+    except Py4JJavaError as failure:
+        store.delete(draft, False)
+        if "FileAlreadyExistsException" in failure.java_exception.getClass().getName():
+            return False
+        raise
+    return True

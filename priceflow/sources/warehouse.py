@@ -4,17 +4,21 @@ Every load writes its rows to its own ``load_id=`` folder of each table and then
 That row publishes the load: readers see the loads listed there and no others, so a load that stopped
 half-way is invisible and can simply be run again. Fact and staging are further split by year, which
 together with sorted files takes the place of an index on the date.
+
+Rows of ``loads`` are numbered, and a number is given once: a writer publishes under the number after the last
+one it has read, so it learns when another writer was first. Writers must use different load ids. A compaction is
+a load that ``replaces`` the folders of others; those stay until a vacuum, for readers that opened them.
 """
 
 from __future__ import annotations
 
 import datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from priceflow import schemas
 from priceflow.session import list_folders, remove_path
+from priceflow.sources.commits import CommitLog
 
 LOADS = T.StructType(
     [
@@ -30,6 +34,7 @@ LOADS = T.StructType(
         T.StructField("last_date", T.DateType()),
         T.StructField("last_id", T.LongType()),
         T.StructField("last_fact_id", T.LongType()),
+        T.StructField("replaces", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -53,6 +58,7 @@ class Warehouse:
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._log = CommitLog(spark, self.path("loads"), LOADS)
         self._loads: list | None = None
 
     def refresh(self) -> None:
@@ -69,14 +75,8 @@ class Warehouse:
         return self._loads
 
     def _published(self) -> list:
-        try:
-            rows = self.spark.read.schema(LOADS).parquet(self.path("loads")).collect()
-        except AnalysisException as failure:
-            if failure.getCondition() == "PATH_NOT_FOUND":
-                return []
-            raise
         first = {}
-        for row in sorted(rows, key=lambda r: r.committed_at):
+        for row in self._log.rows():
             first.setdefault(row.load_id, row)
         return list(first.values())
 
@@ -86,12 +86,19 @@ class Warehouse:
         restarts = [i for i, load in enumerate(loads) if load.full_reload]
         return loads[restarts[-1] :] if restarts else loads
 
+    def live_loads(self, table: str) -> list[str]:
+        """The loads whose folders hold the rows of ``table``. Dimensions outlive a full reload, the other tables
+        restart with it."""
+        loads = self.loads()
+        replaced = {name for load in loads for name in load.replaces or ()}
+        counting = loads if table in DIMENSIONS else self.current_loads()
+        return [load.load_id for load in counting if load.load_id not in replaced]
+
     def read(self, table: str) -> DataFrame:
-        """The published rows. Dimensions outlive a full reload, the other tables restart with it."""
+        """The published rows."""
         schema = TABLES[table]
         names = schema.names
-        loads = self.loads() if table in DIMENSIONS else self.current_loads()
-        ids = [load.load_id for load in loads]
+        ids = self.live_loads(table)
         if table not in DIMENSIONS:
             schema = T.StructType([f for f in schema.fields if f.name != "year"])
             schema = schemas.storage_schema(schema, _LOAD_ID, _YEAR)
@@ -131,30 +138,38 @@ class Warehouse:
     def vacuum(self, older_than: datetime.timedelta = datetime.timedelta(days=7)) -> list[str]:
         """Delete the folders of loads that no reader may still need, and name them.
 
-        These are facts and staging rows that a full reload replaced longer than ``older_than`` ago, and folders
-        that long unchanged whose load was never published. Readers that opened the tables before keep working
-        until then: a reload itself deletes nothing.
+        These are facts and staging rows that a full reload replaced longer than ``older_than`` ago, folders that a
+        compaction replaced that long ago, and folders that long unchanged whose load was never published. Readers that
+        opened the tables before keep working until then: reloads and compactions delete nothing.
         """
         now = datetime.datetime.now()
         self.refresh()
         loads = self.loads()
         current = self.current_loads()
-        replaced = {load.load_id for load in loads} - {load.load_id for load in current}
+        reloaded = {load.load_id for load in loads} - {load.load_id for load in current}
         if not current or now - current[0].committed_at < older_than:
-            replaced = set()
+            reloaded = set()
+        compacted = {
+            name for load in loads if now - load.committed_at >= older_than for name in load.replaces or ()
+        }
         published = {load.load_id for load in loads}
         removed = []
         for table in [*TABLES, "rejected", "broken_records"]:
+            replaced = set() if table in DIMENSIONS else set(reloaded)
+            replaced |= compacted if table in TABLES else set()
             for name, changed in list_folders(self.spark, self.path(table)):
                 load_id = name.removeprefix("load_id=")
                 old = now.timestamp() - changed >= older_than.total_seconds()
-                if (load_id in replaced and table not in DIMENSIONS) or (load_id not in published and old):
+                if load_id in replaced or (load_id not in published and old):
                     remove_path(self.spark, f"{self.path(table)}/{name}")
                     removed.append(f"{table}/{name}")
         return sorted(removed)
 
-    def publish(self, row: dict) -> None:
-        committed = self.spark.createDataFrame([{**row, "committed_at": None}], LOADS)
-        committed = committed.withColumn("committed_at", F.current_timestamp())
-        committed.coalesce(1).write.mode("append").parquet(self.path("loads"))
-        self.refresh()
+    def publish(self, row: dict) -> bool:
+        """Publish a load as the next one after those that this object has read. False if another writer has
+        published since: ``refresh``, and bring the load up to date."""
+        self.loads()
+        taken = self._log.add(row)
+        if taken:
+            self.refresh()
+        return taken
