@@ -347,7 +347,7 @@ def oracles() -> dict[str, str]:
         ),
         "s5_compacted_tables": over(
             "staging dim_date dim_commodity dim_market fact",
-            """SELECT *, 1 AS folders FROM (SELECT 'stg_cleaned_prices' AS table_name, count(*) AS rows FROM staging
+            """SELECT *, CAST(1 AS BIGINT) AS folders FROM (SELECT 'stg_cleaned_prices' AS table_name, count(*) AS rows FROM staging
             UNION ALL SELECT 'dim_date', count(*) FROM dim_date UNION ALL SELECT 'dim_commodity', count(*) FROM dim_commodity
             UNION ALL SELECT 'dim_market', count(*) FROM dim_market UNION ALL SELECT 'fact_prices', count(*) FROM fact)""",
         ),
