@@ -7,7 +7,7 @@ import importlib.util
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from oracle_queries import oracles
 from priceflow import schemas
@@ -15,7 +15,7 @@ from priceflow.fixtures import Inputs, comparable
 from priceflow.operators import constraints, dimensions, enrich, quality, strict
 from priceflow.operators.geofill import geo_fill
 from priceflow.plans import load, models, pipeline, star_queries, strict_queries
-from priceflow.session import hand_off, scratch_path
+from priceflow.session import hand_off, put_if_absent, scratch_path
 from priceflow.sources import prices
 from priceflow.sources.versions import VersionedTables
 from priceflow.sources.warehouse import TABLES, Warehouse
@@ -82,6 +82,18 @@ def s3_source_with_fallback(inputs: Inputs) -> DataFrame:
     return source.groupBy("priceflag").agg(F.count("*").alias("rows"))
 
 
+def s3_damaged_source(inputs: Inputs) -> DataFrame:
+    """A first source that breaks off while it is read: the rows are those of the second one, and of no other."""
+    root = scratch_path(inputs.spark, "sources")
+    prices.write_csv(prices.scan_named(inputs.spark, inputs.csv()), f"{root}/damaged")
+    put_if_absent(inputs.spark, f"{root}/damaged/part-damaged.csv.gz", "not compressed")
+    source = prices.extract_first(
+        inputs.spark, [f"{root}/damaged", inputs.csv()], lambda rows, name: hand_off(rows, f"{root}/{name}")
+    )
+    tried = F.lit(len(source.failures)).alias("failed_sources")
+    return source.rows.groupBy("priceflag").agg(F.count("*").alias("rows"), tried)
+
+
 def s4_parquet_hand_off(inputs: Inputs) -> DataFrame:
     return hand_off(s1_scan_parse(inputs), scratch_path(inputs.spark, "hand-off"))
 
@@ -231,6 +243,15 @@ def c7_geo_fill(inputs: Inputs) -> DataFrame:
 def c7_geo_fill_moving(inputs: Inputs) -> DataFrame:
     """Values that differ inside a market: the order of the rows decides. The blocks are ranges of the
     order key, and the place in a block is the rank there."""
+    return _moving(inputs, F.expr("l_orderkey div 512"), "l_suppkey")
+
+
+def c7_geo_fill_one_block(inputs: Inputs) -> DataFrame:
+    """The same order of all rows as one market in one block, as in a file that can't be split."""
+    return _moving(inputs, F.lit(0), "one_market")
+
+
+def _moving(inputs: Inputs, block: Column, market: str) -> DataFrame:
     order = [
         "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
         "l_tax", "l_returnflag", "l_linestatus", "l_shipdate",
@@ -239,17 +260,16 @@ def c7_geo_fill_moving(inputs: Inputs) -> DataFrame:
     known = ~F.col("l_linenumber").isin(1, 3) & (F.col("l_suppkey") % 7 != 0)
     place = F.struct(
         F.lit("lineitem").alias("file"),
-        F.expr("l_orderkey div 512").alias("block"),
+        block.alias("block"),
         F.struct(*order).alias("row"),
     )
     moving = lines.select(
         *order,
+        F.lit(1).alias("one_market"),
         F.when(known, (F.col("l_partkey") % 90).cast("decimal(8,4)")).alias("latitude"),
         place.alias("row_seq"),
     )
-    filled = geo_fill(
-        moving, scratch_path(inputs.spark, "geo"), market="l_suppkey", coordinates=("latitude",)
-    )
+    filled = geo_fill(moving, scratch_path(inputs.spark, "geo"), market=market, coordinates=("latitude",))
     return filled.select(*order[:6], "latitude")
 
 
@@ -410,6 +430,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "s2_typed_scan": s2_typed_scan,
     "s2_quoted_line_breaks": s2_quoted_line_breaks,
     "s3_source_with_fallback": s3_source_with_fallback,
+    "s3_damaged_source": s3_damaged_source,
     "s4_parquet_hand_off": s4_parquet_hand_off,
     "s5_source_tables": s5_source_tables,
     "s5_compacted_tables": s5_compacted_tables,
@@ -433,6 +454,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "c6_handle_missing": c6_handle_missing,
     "c7_geo_fill": c7_geo_fill,
     "c7_geo_fill_moving": c7_geo_fill_moving,
+    "c7_geo_fill_one_block": c7_geo_fill_one_block,
     "c8_standardize_names": c8_standardize_names,
     "c9_price_per_kg": c9_price_per_kg,
     "c10_clean": c10_clean,

@@ -229,6 +229,15 @@ LINE_ORDER = (
 MOVING_LATITUDE = "CASE WHEN l_linenumber NOT IN (1, 3) AND l_suppkey % 7 <> 0 THEN CAST(l_partkey % 90 AS DECIMAL(8,4)) END"
 
 
+def moving_latitude(market: str) -> str:
+    """The latitude filled in the order of the lines of a market."""
+    return f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
+        CAST(coalesce(last_value(latitude IGNORE NULLS) OVER before_or_at, first_value(latitude IGNORE NULLS) OVER anywhere, 0)
+        AS DOUBLE) AS latitude FROM (SELECT *, 1 AS one_market, {MOVING_LATITUDE} AS latitude FROM lineitem)
+        WINDOW before_or_at AS (PARTITION BY {market} ORDER BY {LINE_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+        anywhere AS (PARTITION BY {market} ORDER BY {LINE_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)"""
+
+
 def _not_null() -> str:
     models = {
         "monthly": ("agg_monthly_avg_price", ("price_month", "commodity", "avg_price_kes")),
@@ -338,6 +347,7 @@ def oracles() -> dict[str, str]:
             "raw", "SELECT priceflag, count(*) AS rows, CAST(count_if(commodity_id % 7 = 0) AS BIGINT) AS two_lines FROM raw GROUP BY priceflag"
         ),
         "s3_source_with_fallback": over("source", "SELECT priceflag, count(*) AS rows FROM source GROUP BY priceflag"),
+        "s3_damaged_source": over("source", "SELECT priceflag, count(*) AS rows, CAST(1 AS BIGINT) AS failed_sources FROM source GROUP BY priceflag"),
         "s4_parquet_hand_off": over("raw", f"SELECT {out(*RAW_COLUMNS)} FROM raw"),
         "s5_source_tables": over(
             "staging dim_date dim_commodity dim_market fact",
@@ -398,11 +408,8 @@ def oracles() -> dict[str, str]:
             WHERE price IS NOT NULL AND usd_price IS NOT NULL""",
         ),
         "c7_geo_fill": over("filled", "SELECT market, CAST(latitude AS DOUBLE) AS latitude, CAST(longitude AS DOUBLE) AS longitude, count(*) AS rows FROM filled GROUP BY 1, 2, 3"),
-        "c7_geo_fill_moving": f"""SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice,
-            CAST(coalesce(last_value(latitude IGNORE NULLS) OVER before_or_at, first_value(latitude IGNORE NULLS) OVER anywhere, 0)
-            AS DOUBLE) AS latitude FROM (SELECT *, {MOVING_LATITUDE} AS latitude FROM lineitem)
-            WINDOW before_or_at AS (PARTITION BY l_suppkey ORDER BY {LINE_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-            anywhere AS (PARTITION BY l_suppkey ORDER BY {LINE_ORDER} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)""",
+        "c7_geo_fill_moving": moving_latitude("l_suppkey"),
+        "c7_geo_fill_one_block": moving_latitude("one_market"),
         "c8_standardize_names": over(
             "source",
             f"""SELECT {title("admin1")} AS region, {title("admin2")} AS county, {title("trim(market)")} AS market,

@@ -14,7 +14,7 @@ from priceflow.operators.enrich import clean
 from priceflow.operators.strict import clean_strict
 from priceflow.plans.pipeline import run_pipeline, store_cleaned
 from priceflow.schemas import RAW
-from priceflow.session import path_exists, shared_dir
+from priceflow.session import application_dir, path_exists
 from priceflow.sources.prices import WIDE, read_raw, scan_named, type_columns, write_csv
 from priceflow.sources.warehouse import Warehouse
 
@@ -87,7 +87,7 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
         folder = hashlib.sha1(sf_dir.encode()).hexdigest()[:12]
-        self.root = f"{shared_dir(spark)}/priceflow/{spark.sparkContext.applicationId}/inputs-{folder}"
+        self.root = f"{application_dir(spark)}/inputs-{folder}"
 
     def _made(self, name: str) -> tuple[str, bool]:
         path = f"{self.root}/{name}"

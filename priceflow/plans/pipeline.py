@@ -17,7 +17,7 @@ from priceflow.plans.load import load_star
 from priceflow.schemas import CLEANED, storage_schema
 from priceflow.session import hand_off, remove_path
 from priceflow.sources.prices import (
-    RAGGED, WIDE, open_first, route_ragged, scan_named, scan_text, type_columns, unread_counts,
+    RAGGED, WIDE, extract_first, route_ragged, scan_named, scan_text, type_columns, unread_counts,
 )
 from priceflow.sources.versions import VersionedTables
 from priceflow.sources.warehouse import Warehouse
@@ -58,7 +58,7 @@ def run_pipeline(
     on_violation: str = "fail",
     date_formats: tuple[str, ...] = ("iso", "dmy"),
 ) -> dict:
-    """One batch into the warehouse at ``root``, from the first of ``sources`` that can be read.
+    """One batch into the warehouse at ``root``, from the first of ``sources`` that can be read to its end.
 
     The summary names the source, the sources that failed before it, and how many texts of each column
     could not be read as numbers. Files with line breaks inside quotes are read as such (``multi_line_files``); records that
@@ -74,8 +74,6 @@ def run_pipeline(
     summary = {"status": "started", "load_id": load_id}
     try:
         mark = warehouse.high_water_mark() if incremental and not full_reload else None
-        source = open_first(spark, sources, row_seq=True, mark_ragged=True)
-        summary |= {"source": source.path, "source_failures": list(source.failures)}
 
         def extracted(rows: DataFrame) -> DataFrame:
             """Typed and new rows, and all ragged records: their dates may be those of other fields."""
@@ -85,9 +83,12 @@ def run_pipeline(
             kept = incremental_filter(typed.where(F.col(RAGGED).isNull()), mark, date_formats)
             return kept.unionByName(typed.where(F.col(RAGGED).isNotNull()))
 
-        stored = hand_off(extracted(source.rows), f"{work_dir}/raw")
+        source = extract_first(
+            spark, sources, lambda rows, name: hand_off(extracted(rows), f"{work_dir}/{name}"), row_seq=True, mark_ragged=True
+        )
+        summary |= {"source": source.path, "source_failures": list(source.failures)}
         raw, broken, found = route_ragged(
-            stored,
+            source.rows,
             lambda files: scan_named(spark, files, row_seq=True, multi_line=True, mark_ragged=True),
             lambda rows: hand_off(extracted(rows), f"{work_dir}/raw-multi-line"),
         )
@@ -131,8 +132,12 @@ def run_strict(
     """
     tables = VersionedTables(spark, root)
     version = tables.new_version()
-    source = open_first(spark, sources, scan=scan_text)
-    raw = version.write("raw", type_columns(source.rows, date_formats=date_formats, unread="unread"))
+
+    def typed(rows: DataFrame, _: str) -> DataFrame:
+        return version.write("raw", type_columns(rows, date_formats=date_formats, unread="unread"))
+
+    source = extract_first(spark, sources, typed, scan=scan_text)
+    raw = source.rows
     unread = {r["column_name"]: r["rows"] for r in unread_counts(raw, "unread").collect()}
     cleaned = version.write("cleaned", clean_strict(raw))
     declared = [(f.name, f.dataType) for f in storage_schema(CLEANED).fields]

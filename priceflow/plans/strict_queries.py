@@ -120,15 +120,26 @@ def widely_tracked_commodities(cleaned: DataFrame, more_than: int = 10) -> DataF
     )
 
 
+def distinct_counts(df: DataFrame, keys: list[str], counts: dict[str, str]) -> DataFrame:
+    """The number of different values (not null) of several columns in each group, named by ``counts``.
+
+    Several distinct counts in one aggregate make a row for each of them out of every row. Here rows are folded to the
+    combinations that occur first, and only those are taken apart, into (number of the column, value).
+    """
+    columns = list(counts)
+    kind, value = "_column", "_value"
+    entries = F.array(*[F.struct(F.lit(n).alias(kind), F.col(c).cast("string").alias(value)) for n, c in enumerate(columns)])
+    values = df.select(*keys, *columns).distinct().select(*keys, F.inline(entries)).distinct()
+    held = [F.count_if((F.col(kind) == n) & F.col(value).isNotNull()).alias(counts[c]) for n, c in enumerate(columns)]
+    return values.groupBy(*keys).agg(*held)
+
+
 def market_variety_top(cleaned: DataFrame, k: int = 10) -> DataFrame:
-    """The ``k`` markets with most commodities; the names decide between equals. Rows are folded to
-    one per market and name in the map tasks, and only ``k`` rows per task reach the final order."""
+    """The ``k`` markets with most commodities; the names decide between equals. Rows are folded once to the sets
+    of names of a market, in the map tasks first, and only ``k`` rows per task reach the final order."""
+    counts = {"category": "total_categories", "commodity": "unique_commodities_sold"}
     return (
-        cleaned.groupBy("county", "market")
-        .agg(
-            F.count_distinct("category").alias("total_categories"),
-            F.count_distinct("commodity").alias("unique_commodities_sold"),
-        )
+        distinct_counts(cleaned, ["county", "market"], counts)
         .orderBy(F.desc("unique_commodities_sold"), F.asc_nulls_last("county"), F.asc_nulls_last("market"))
         .limit(k)
     )

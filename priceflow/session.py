@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 from functools import lru_cache
 from uuid import uuid4
 
@@ -44,9 +47,46 @@ def _local_dir(application_id: str) -> str:
     return tempfile.mkdtemp(prefix=f"priceflow-{application_id}-")
 
 
+_SCOPE: ContextVar[str | None] = ContextVar("scratch_scope", default=None)
+
+
+def application_dir(spark: SparkSession) -> str:
+    """This application's folder in the shared one. It is deleted when the driver's JVM ends in order."""
+    path = f"{shared_dir(spark)}/priceflow/{spark.sparkContext.applicationId}"
+    _delete_on_exit(path)
+    return path
+
+
+@lru_cache
+def _delete_on_exit(path: str) -> None:
+    spark = SparkSession.getActiveSession()
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    store.mkdirs(target)  # only what is there can be marked
+    store.deleteOnExit(target)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new path in the shared folder; never one that another plan may still read."""
-    return f"{shared_dir(spark)}/priceflow/{spark.sparkContext.applicationId}/{name}-{uuid4().hex}"
+    """A new path in the shared folder; never one that another plan may still read.
+
+    What is written there lasts until the innermost ``scratch_scope`` ends, or the application.
+    """
+    return f"{_SCOPE.get() or application_dir(spark)}/{name}-{uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end, also after a failure, every table written under a ``scratch_path`` of the block.
+
+    No plan may read them afterwards: a result that is read later goes to a path taken before the block.
+    """
+    folder = scratch_path(spark, "scope")
+    outer = _SCOPE.set(folder)
+    try:
+        yield
+    finally:
+        _SCOPE.reset(outer)
+        remove_path(spark, folder)
 
 
 def hand_off(df: DataFrame, path: str) -> DataFrame:

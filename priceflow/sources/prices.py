@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, IllegalArgumentException
@@ -188,17 +189,64 @@ def open_first(
     Only a path that is missing, or a store that can't be reached, leads on to the next one. Everything else,
     such as a wrong option or a missing permission, is raised.
     """
+    return _first_that(paths, lambda path: scan(spark, path, **options), _is_absent)
+
+
+def extract_first(
+    spark: SparkSession,
+    paths: Sequence[str],
+    store: Callable[[DataFrame, str], DataFrame],
+    scan: Callable[..., DataFrame] = scan_named,
+    **options,
+) -> Source:
+    """The first of ``paths`` that can be read to its end, with the rows that ``store`` gives back.
+
+    ``store`` writes the rows of a source to a folder of the given name, a new one for each source, and reads them back. So a
+    source with a file that is damaged or gone, or whose store fails on the way, leads on to the next one as well, and none of
+    its rows stay in the result. A file with another header, or a missing permission, is raised.
+    """
+
+    def stored(path: str) -> DataFrame:
+        return store(scan(spark, path, **options), f"source-{uuid4().hex}")
+
+    return _first_that(paths, stored, lambda failure: _is_absent(failure) or _is_unreadable(spark, failure))
+
+
+def _first_that(paths: Sequence[str], read: Callable[[str], DataFrame], leads_on: Callable[[Exception], bool]) -> Source:
     failures: list[str] = []
     for path in paths:
         try:
-            return Source(scan(spark, path, **options), path, tuple(failures))
+            return Source(read(path), path, tuple(failures))
         except (AnalysisException, Py4JJavaError, IllegalArgumentException) as failure:
-            if not _is_absent(failure):
+            if not leads_on(failure):
                 raise
-            failures.append(f"{path}: {str(failure).splitlines()[0]}")
+            failures.append(f"{path}: {_reason(failure)}")
     raise FileNotFoundError("no price source can be read: " + "; ".join(failures))
 
 
+def _causes(failure: Exception) -> Iterator:
+    """The Java exception and those that caused it, the outermost first."""
+    cause = failure.java_exception if isinstance(failure, Py4JJavaError) else None
+    while cause is not None:
+        yield cause
+        cause = cause.getCause()
+
+
+def _reason(failure: Exception) -> str:
+    causes = [str(cause.getMessage()).splitlines()[0] for cause in _causes(failure)]
+    return ": ".join(causes) or str(failure).splitlines()[0]
+
+
+def _is_unreadable(spark: SparkSession, failure: Exception) -> bool:
+    """Whether a task failed to read a file, for another reason than a header or a permission."""
+    kind = spark._jvm.java.lang.Class.forName
+    causes = list(_causes(failure))
+    for outer, cause in zip(causes, causes[1:]):
+        if "FAILED_READ_FILE" in str(outer.getMessage()) and kind("java.io.IOException").isInstance(cause):
+            return "AccessControlException" not in cause.getClass().getName()
+    return False
+
+
 _ABSENT = (
     "PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA", "FileNotFoundException", "UnknownHostException", "ConnectException",
     "SocketTimeoutException", "NoRouteToHostException", "UnsupportedFileSystemException", "No FileSystem for scheme",

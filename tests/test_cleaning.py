@@ -64,9 +64,10 @@ def test_geo_fill_cases(spark, work):
     assert [int(r.latitude) for r in filled] == [5, 5, 5, 7, 7, 0, 0, 0, 0, 4, 4, 4]
 
 
-@pytest.mark.parametrize("seed", range(4))
-def test_geo_fill_is_that_of_pandas(spark, work, seed):
-    """Several files and blocks, and one market that holds a third of the rows."""
+@pytest.mark.parametrize("seed, pieces", [(0, {}), (1, {}), (2, {"piece_rows": 7}), (3, {"piece_rows": 1}), (4, {"by_range": True})])
+def test_geo_fill_is_that_of_pandas(spark, work, seed, pieces):
+    """Several files and blocks, and one market that holds a third of the rows; blocks in one piece, many, or cut by range."""
+    by_range = pieces.pop("by_range", False)
     draw = random.Random(seed)
     data = []
     for file in ("a", "b"):
@@ -83,10 +84,31 @@ def test_geo_fill_is_that_of_pandas(spark, work, seed):
     shuffled = data[:]
     draw.shuffle(shuffled)
     df = spark.createDataFrame(shuffled, f"market string, latitude double, longitude double, {SEQ}").repartition(5)
-    filled = {str(tuple(r.row_seq)): (r.latitude, r.longitude) for r in geo_fill(df, work).collect()}
+    if by_range:
+        df = df.withColumn("row_seq", F.col("row_seq").withField("row", F.struct("row_seq.row")))
+    filled = geo_fill(df, work, **pieces).withColumn("row_seq", F.col("row_seq").withField("row", F.expr("row_seq.row" + ".row" * by_range)))
+    filled = {str(tuple(r.row_seq)): (r.latitude, r.longitude) for r in filled.collect()}
     assert filled == {r.at: (r.latitude, r.longitude) for r in expected.itertuples()}
 
 
+def test_one_market_in_one_block_is_cut_into_pieces(spark, work):
+    """No window of the fill holds more than a piece, however the rows are numbered."""
+    n = 40_000
+    place = F.struct(F.lit("f").alias("file"), F.lit(0).alias("block"), F.col("id").alias("row"))
+    df = spark.range(n).select(F.lit("hot").alias("market"), F.when(F.col("id") % 5 == 2, F.col("id").cast("double")).alias("latitude"), place.alias("row_seq"))
+    wrong = F.col("latitude") != F.greatest(F.lit(2), (F.col("row_seq.row") - 2) - (F.col("row_seq.row") - 2) % 5 + 2)
+    assert geo_fill(df, work, coordinates=("latitude",), piece_rows=1000).where(wrong).count() == 0
+    by_range = df.withColumn("row_seq", F.col("row_seq").withField("row", F.struct("row_seq.row")))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        filled = geo_fill(by_range, work, coordinates=("latitude",)).withColumn("row_seq", F.col("row_seq").withField("row", F.col("row_seq.row.row")))
+        assert filled.where(wrong).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    sizes = [r["count"] for r in spark.read.parquet(f"{work}/pieces").groupBy("_piece").count().collect()]
+    assert len(sizes) > 3 and max(sizes) < n / 3
+
+
 def test_price_per_kg(spark):
     units = ["KG", "90 KG", "400 G", "kg", "Bunch", "Crate", None]
     df = spark.createDataFrame([(u, Decimal("35.00"), Decimal("1.00")) for u in units], "unit string, price decimal(12,4), usd_price decimal(12,4)")

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import gzip
 
 import pytest
 from base_helpers import rows
@@ -8,7 +9,7 @@ from base_helpers import rows
 from priceflow.operators.quality import QualityCheckError
 from priceflow.plans.load import ConstraintViolation
 from priceflow.plans.models import publish_models
-from priceflow.plans.pipeline import incremental_filter, run_pipeline
+from priceflow.plans.pipeline import incremental_filter, run_pipeline, run_strict
 from priceflow.schemas import RAW
 from priceflow.sources.warehouse import Warehouse
 
@@ -59,6 +60,23 @@ def test_batches_keep_what_is_newer_than_the_mark(spark, source, tmp_path):
     assert spark.sql("SELECT sum(observation_count) AS n FROM agg_monthly_avg_price").first().n == 3
 
 
+def test_a_damaged_source_leaves_no_rows(spark, source, tmp_path):
+    root = str(tmp_path / "w")
+    damaged = tmp_path / "damaged"
+    damaged.mkdir()
+    days = [(f"2020-{m:02d}-{d:02d}", 5, 50 + m * d) for m in range(1, 13) for d in range(1, 29)]
+    whole = open(source("a.csv", *days)).read()
+    (damaged / "a.csv").write_text(whole)
+    (damaged / "b.csv.gz").write_bytes(gzip.compress(whole.encode())[:-200])
+    path = source("good.csv", ("2020-01-02", 1, 90))
+    summary = run_pipeline(spark, [str(damaged), path], root)
+    assert summary["status"] == "success" and summary["source"] == path and summary["rows_extracted"] == 1
+    assert len(summary["source_failures"]) == 1 and "b.csv.gz" in summary["source_failures"][0]
+    assert facts(spark, root) == [(D2, 1, 90)]
+    strict = run_strict(spark, [str(damaged), path], str(tmp_path / "strict"))
+    assert strict["rows_raw"] == 1 and len(strict["source_failures"]) == 1
+
+
 def test_full_reload_and_plain_append(spark, source, tmp_path):
     root, path = str(tmp_path / "w"), source("one.csv", ("2020-01-01", 1, 90))
     for options, expected in (({}, 1), ({"incremental": False}, 2), ({"full_reload": True}, 1), ({"full_reload": True}, 1)):

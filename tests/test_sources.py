@@ -1,12 +1,14 @@
 from __future__ import annotations
 
 import datetime
+import gzip
 from decimal import Decimal
 
 import pytest
 from base_helpers import rows
 
 from priceflow.schemas import RAW
+from priceflow.session import hand_off
 from priceflow.sources import prices
 
 HEADER = ",".join(RAW.names)
@@ -80,6 +82,40 @@ def test_a_source_that_is_broken_is_no_missing_source(spark, csv, tmp_path):
         prices.open_first(spark, [path, path], scan=lambda *_: 1 / 0)
 
 
+def test_a_source_that_breaks_off_leads_on(spark, csv, tmp_path):
+    good = csv("Meru,2015-01-15", header="market,date")
+    packed = gzip.compress(("market,date\n" + "Hola,2015-01-16\n" * 9999 + str(list(range(5000)))).encode())
+    damages = {"cut off": packed[: len(packed) // 2], "no gzip": b"not compressed", "changed": packed[:60] + b"x" * 50 + packed[110:]}
+    for name, content in damages.items():
+        folder = tmp_path / name
+        folder.mkdir()
+        (folder / "a.csv").write_text("market,date\nHola,2015-01-15\n")
+        (folder / "b.csv.gz").write_bytes(content)
+    stored = []
+
+    def store(rows, name):
+        stored.append(name)
+        return hand_off(rows, str(tmp_path / name))
+
+    paths = [str(tmp_path / name) for name in damages]
+    source = prices.extract_first(spark, [*paths, good], store)
+    assert source.path == good and rows(source.rows) == [("Meru", "2015-01-15")]
+    assert len(set(stored)) == len(stored) and len(source.failures) == 3
+    assert all(path in failure and "b.csv.gz" in failure for path, failure in zip(paths, source.failures))
+    with pytest.raises(FileNotFoundError, match="no gzip"):
+        prices.extract_first(spark, paths, store)
+
+
+def test_another_header_is_raised_not_passed_over(spark, csv, tmp_path):
+    good = csv("Meru,2015-01-15", header="market,date")
+    folder = tmp_path / "many"
+    folder.mkdir()
+    for name, header in (("a", "market,date"), ("b", "date,market")):
+        (folder / f"{name}.csv").write_text(f"{header}\n1,2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        prices.extract_first(spark, [str(folder), good], lambda rows, name: hand_off(rows, str(tmp_path / name)))
+
+
 def test_line_breaks_inside_quotes(spark, csv, tmp_path):
     path = csv('"Ho\nla",2015-01-15', "Meru,2015-01-16", header="market,date")
     assert rows(prices.scan_named(spark, path, multi_line=True), "market") == [("Ho\nla",), ("Meru",)]
