@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Observation, functions as F
 
-from priceflow.session import hand_off, scratch_path
+from priceflow.session import hand_off, scratch_path, scratch_scope
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -25,8 +25,14 @@ def connected_components(edges: DataFrame) -> DataFrame:
     ``edges`` has the columns u and v of one type; the direction and repeats don't matter. Every step
     is a group-by with a minimum and a join on its result, so a node with very many edges is
     pre-aggregated and split. The table of edges never grows; the number of rounds is logarithmic. Each round
-    ends in a written table, so no lineage piles up and a lost executor costs one round at most.
+    ends in a written table, so no lineage piles up and a lost executor costs one round at most. These tables are deleted at the end.
     """
+    path = scratch_path(edges.sparkSession, "components")
+    with scratch_scope(edges.sparkSession):
+        return hand_off(_labels(edges), path)
+
+
+def _labels(edges: DataFrame) -> DataFrame:
     spark = edges.sparkSession
     current = edges.where("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
     state = None
@@ -39,4 +45,4 @@ def connected_components(edges: DataFrame) -> DataFrame:
             break
         state = seen.get
     own = F.array(F.struct(F.col("u").alias("node"), F.col("v").alias("component")), F.struct(F.col("v").alias("node"), F.col("v").alias("component")))
-    return hand_off(current.select(F.inline(own)).distinct(), scratch_path(spark, "components"))
+    return current.select(F.inline(own)).distinct()

@@ -42,7 +42,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from priceflow.llm.components import connected_components
 from priceflow.llm.text import map_batches, shingle_set, word_runs
-from priceflow.session import hand_off, scratch_path
+from priceflow.session import hand_off, scratch_path, scratch_scope
 
 SHINGLE = 5
 SIMILARITY = (75, 100)
@@ -250,46 +250,50 @@ def near_duplicates(
 ) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, class_id, component_id, kept.
 
-    class_id is the smallest id with the same set, component_id the smallest id that links reach.
+    class_id is the smallest id with the same set, component_id the smallest id that links reach. Of the tables written on
+    the way, only the classes of rows and the components of classes last, which the result reads.
     """
     spark = docs.sparkSession
+    lasting = {name: scratch_path(spark, f"near-{name}") for name in ("members", "groups")}
 
     def keep(df: DataFrame, name: str) -> DataFrame:
         return hand_off(df, scratch_path(spark, f"near-{name}"))
 
-    prints = keep(fingerprints(docs, shingle, k, whole), "fingerprints")
-    usable = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
-    own = [F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n_shingles", "sketch"))]
-    classes = keep(usable.groupBy("set_key").agg(*own), "classes")
-    named = classes.select("set_key", F.col("node").alias("class_id"))
-    mapped = keep(prints.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left").drop("set_key"), "members")
-
-    lists = keep(sketch_lists(classes, k, whole, similarity), "lists")
-    several = lists.groupBy(*LIST).agg(F.count("*").alias("n")).where("n > 1")
-    nodes = lists.join(several, LIST).groupBy("node").agg(F.min(F.col("rarer") / F.col("retained")).alias("unshared"))
-    related = keep(classes.join(nodes, "node").select("node", "n_shingles", "sketch", "unshared"), "related")
-    wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    sets = keep(full_sets(wanted.join(related.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), shingle), "sets")
-
-    # An id with several texts is one document: its classes are linked.
-    known = mapped.where("class_id IS NOT NULL AND doc_id IS NOT NULL")
-    ranges = known.groupBy("doc_id").agg(F.min("class_id").alias("u"), F.max("class_id").alias("high")).where("u < high")
-    shared = known.join(ranges, "doc_id").select("u", F.col("class_id").alias("v"))
-    met = verified(hub_pairs(related, k), related, sets, k, similarity)
-    components = connected_components(keep(met.unionByName(shared), "links"))
-    left = keep(pruned(open_lists(lists, components, similarity), similarity), "open-lists")
-    if left.count():
-        held = related.select("node", "sketch").join(sets.select(F.col("doc_id").alias("node"), "bits").distinct(), "node")
-        pairs = keep(remaining_pairs(pruned(left, similarity), held, similarity), "remaining")
-        links = verified(pairs, related, sets, k, similarity)
-        for side in "uv":
-            label = components.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
-            links = links.join(label, side, "left").withColumn(side, F.coalesce(f"of_{side}", side)).drop(f"of_{side}")
-        joined = connected_components(keep(links, "late-links"))
-        joined = joined.select(F.col("component").alias("joined"), F.col("node").alias("component"))
-        late = components.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
-        lone = joined.join(components.select(F.col("node").alias("component")), "component", "left_anti")
-        components = late.unionByName(lone.select(F.col("component").alias("node"), F.col("joined").alias("component")))
+    with scratch_scope(spark):
+        prints = keep(fingerprints(docs, shingle, k, whole), "fingerprints")
+        usable = prints.where("doc_id IS NOT NULL AND n_shingles > 0")
+        own = [F.min("doc_id").alias("node"), *(F.first(c).alias(c) for c in ("n_shingles", "sketch"))]
+        classes = keep(usable.groupBy("set_key").agg(*own), "classes")
+        named = classes.select("set_key", F.col("node").alias("class_id"))
+        mapped = hand_off(prints.select("doc_id", "n_shingles", "set_key").join(named, "set_key", "left").drop("set_key"), lasting["members"])
+
+        lists = keep(sketch_lists(classes, k, whole, similarity), "lists")
+        several = lists.groupBy(*LIST).agg(F.count("*").alias("n")).where("n > 1")
+        nodes = lists.join(several, LIST).groupBy("node").agg(F.min(F.col("rarer") / F.col("retained")).alias("unshared"))
+        related = keep(classes.join(nodes, "node").select("node", "n_shingles", "sketch", "unshared"), "related")
+        wanted = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+        sets = keep(full_sets(wanted.join(related.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), shingle), "sets")
+
+        # An id with several texts is one document: its classes are linked.
+        known = mapped.where("class_id IS NOT NULL AND doc_id IS NOT NULL")
+        ranges = known.groupBy("doc_id").agg(F.min("class_id").alias("u"), F.max("class_id").alias("high")).where("u < high")
+        shared = known.join(ranges, "doc_id").select("u", F.col("class_id").alias("v"))
+        met = verified(hub_pairs(related, k), related, sets, k, similarity)
+        components = connected_components(keep(met.unionByName(shared), "links"))
+        left = keep(pruned(open_lists(lists, components, similarity), similarity), "open-lists")
+        if left.count():
+            held = related.select("node", "sketch").join(sets.select(F.col("doc_id").alias("node"), "bits").distinct(), "node")
+            pairs = keep(remaining_pairs(pruned(left, similarity), held, similarity), "remaining")
+            links = verified(pairs, related, sets, k, similarity)
+            for side in "uv":
+                label = components.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
+                links = links.join(label, side, "left").withColumn(side, F.coalesce(f"of_{side}", side)).drop(f"of_{side}")
+            joined = connected_components(keep(links, "late-links"))
+            joined = joined.select(F.col("component").alias("joined"), F.col("node").alias("component"))
+            late = components.join(joined, "component", "left").select("node", F.coalesce("joined", "component").alias("component"))
+            lone = joined.join(components.select(F.col("node").alias("component")), "component", "left_anti")
+            components = late.unionByName(lone.select(F.col("component").alias("node"), F.col("joined").alias("component")))
+        components = hand_off(components, lasting["groups"])
 
     result = mapped.join(components.withColumnRenamed("node", "class_id"), "class_id", "left").select(
         "doc_id",
