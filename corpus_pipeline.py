@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from priceflow.llm import decontam, line_dedup, near_dup, packing, quality_bayes
 from priceflow.llm.queries import BYTES, table
-from priceflow.session import hand_off, scratch_path
+from priceflow.session import hand_off, scratch_path, scratch_scope
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -47,8 +47,10 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written and read again for the next."""
+    """All stages over ``documents``, each written and read again for the next; what a stage writes on the way is deleted with it."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = hand_off(stage(spark, docs, sf_dir), scratch_path(spark, name.replace(" ", "-")))
+        kept = scratch_path(spark, name.replace(" ", "-"))
+        with scratch_scope(spark):
+            docs = hand_off(stage(spark, docs, sf_dir), kept)
     return docs
