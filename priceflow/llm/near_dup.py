@@ -199,13 +199,9 @@ def pruned(members: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     return known.where(able).select(*members.columns)
 
 
-def remaining_pairs(members: DataFrame, held: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a < b) of one list and different components that can be similar, each from the rarest value both hold: a, b.
-
-    ``held`` has node, sketch and bits. Whole sketches tell the overlap. The bitmaps of other sets differ in no more places than
-    the sets in values, so pairs whose bitmaps differ too much can't be similar.
-    """
-    low, high = similarity
+def with_sets(members: DataFrame, held: DataFrame) -> DataFrame:
+    """``members`` with prefix, the values of the node's lists from the rarest on, and held: its whole sketch, or the bitmap of its
+    set. ``held`` has node, sketch and bits."""
     prefix = members.groupBy("node", "kind").agg(F.sort_array(F.collect_list(F.struct("rarer", "value"))).alias("own"))
     prefix = prefix.join(held, "node").select(
         "node",
@@ -213,7 +209,16 @@ def remaining_pairs(members: DataFrame, held: DataFrame, similarity: tuple[int,
         F.transform("own", lambda x: x["value"]).alias("prefix"),
         F.when(F.col("kind") == 0, F.col("sketch")).otherwise(F.col("bits")).alias("held"),
     )
-    full = members.join(prefix, ["node", "kind"])
+    return members.join(prefix, ["node", "kind"])
+
+
+def remaining_pairs(full: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a < b) of one list and different components that can be similar, each from the rarest value both hold: a, b.
+
+    ``full`` comes from ``with_sets``. Whole sketches tell the overlap. The bitmaps of other sets differ in no more places than
+    the sets in values, so pairs whose bitmaps differ too much can't be similar.
+    """
+    low, high = similarity
     others = full.select(*LIST, F.struct(*_MEMBER, "prefix", "held").alias("other"))
     rarest = F.get(F.array_intersect("prefix", "other.prefix"), F.lit(0)) == F.col("value")
     both = F.col("n_shingles") + F.col("other.n_shingles")
@@ -283,7 +288,10 @@ def near_duplicates(
         left = keep(pruned(open_lists(lists, components, similarity), similarity), "open-lists")
         if left.count():
             held = related.select("node", "sketch").join(sets.select(F.col("doc_id").alias("node"), "bits").distinct(), "node")
-            pairs = keep(remaining_pairs(pruned(left, similarity), held, similarity), "remaining")
+            # Short plans: one for all of this takes much of the driver's memory when every step has many tasks.
+            left = keep(pruned(left, similarity), "open-members")
+            full = keep(with_sets(left, held), "open-sets")
+            pairs = keep(remaining_pairs(full, similarity), "remaining")
             links = verified(pairs, related, sets, k, similarity)
             for side in "uv":
                 label = components.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
