@@ -265,7 +265,7 @@ def _moving(inputs: Inputs, block: Column, market: str) -> DataFrame:
     )
     moving = lines.select(
         *order,
-        F.lit(1).alias("one_market"),
+        F.least("l_linenumber", F.lit(0)).alias("one_market"),  # no literal: joins on one would be cross joins
         F.when(known, (F.col("l_partkey") % 90).cast("decimal(8,4)")).alias("latitude"),
         place.alias("row_seq"),
     )
