@@ -183,7 +183,7 @@ def k6_full_reload(inputs: Inputs) -> DataFrame:
 
 def k7_csv_cleaned(inputs: Inputs) -> DataFrame:
     path = scratch_path(inputs.spark, "cleaned-csv")
-    prices.write_csv(inputs.cleaned(), path)
+    prices.write_csv(inputs.cleaned(), path, compression="gzip")
     text = prices.scan_named(inputs.spark, path)
     back = {"region": "admin1", "county": "admin2"}
     return prices.type_columns(text.withColumnsRenamed(back)).withColumnsRenamed(schemas.STRICT_RENAMES)
@@ -321,7 +321,7 @@ def u7_two_batches(inputs: Inputs) -> DataFrame:
     first = prices.scan_named(inputs.spark, inputs.csv())
     first = first.withColumn("parsed", prices.parse_date(F.col("date")))
     first = first.where((date >= "1997-01-01") & (date <= F.lit(MARK))).drop("parsed")
-    prices.write_csv(first, f"{root}-source")
+    prices.write_csv(first, f"{root}-source", compression="gzip")
     for source in (f"{root}-source", inputs.csv()):
         pipeline.run_pipeline(inputs.spark, [source], root, on_violation="reject")
     warehouse = Warehouse(inputs.spark, root)

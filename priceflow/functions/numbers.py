@@ -9,9 +9,10 @@ def to_decimal(text: Column, precision: int, scale: int) -> Column:
 
 
 def to_int(text: Column) -> Column:
-    """Null when the text is not a whole number; ``1854.0`` is one."""
+    """Null when the text is not a whole number; ``1854.0`` is one. Only texts that are no plain integers take the
+    way over a wide decimal, which costs several times as much."""
     number = to_decimal(text, 38, 18)
-    return F.when(number == F.floor(number), number.try_cast("int"))
+    return F.coalesce(text.try_cast("int"), F.when(number == F.floor(number), number.try_cast("int")))
 
 
 def to_double(text: Column) -> Column:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
@@ -152,11 +154,16 @@ def type_columns(
             typed[field.name] = to_decimal(column, *coordinate)
         elif field.name == "date" and date_formats is not None:
             typed[field.name] = parse_date(column, date_formats)
-    if unread:
-        lost = [F.when(F.col(c).isNotNull() & value.isNull(), F.struct(F.lit(c).alias("column"), F.col(c).alias("text"))) for c, value in typed.items()]
-        entries = F.array_compact(F.array(*lost))
-        typed[unread] = F.when(F.size(entries) > 0, F.map_from_entries(entries))
-    return df.withColumns(typed)
+    if not unread:
+        return df.withColumns(typed)
+    # Values are columns of their own first, so that what is unread is found without converting again.
+    values = {c: f"_value_{c}" for c in typed}
+    known = df.withColumns({values[c]: value for c, value in typed.items()})
+    lost = {c: F.col(c).isNotNull() & F.col(v).isNull() for c, v in values.items()}
+    texts = [F.when(no, F.struct(F.lit(c).alias("column"), F.col(c).alias("text"))) for c, no in lost.items()]
+    entries = F.when(reduce(or_, lost.values()), F.map_from_entries(F.array_compact(F.array(*texts))))
+    columns = [F.col(values[c]).alias(c) if c in values else F.col(f"`{c}`") for c in df.columns]
+    return known.select(*columns, entries.alias(unread))
 
 
 def unread_counts(typed: DataFrame, unread: str) -> DataFrame:
@@ -267,11 +274,17 @@ def first_readable(
     return open_first(spark, paths, scan, **options).rows
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """CSV with a header, text exactly as it is; the writer would trim it by default."""
+#: Compressed text can't be split, so its files are kept this small: a file is one task of the reader.
+COMPRESSED_ROWS = 1 << 20
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", compression: str = "none") -> None:
+    """CSV with a header, text exactly as it is; the writer would trim it by default. Compressed files hold at most
+    ``COMPRESSED_ROWS`` records each."""
+    limit = {} if compression == "none" else {"maxRecordsPerFile": COMPRESSED_ROWS}
     (
         df.write.mode(mode)
-        .options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False)
+        .options(**_CSV, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False, compression=compression, **limit)
         .csv(path)
     )
 

@@ -53,6 +53,24 @@ def test_numbers_from_text(spark):
     ]
 
 
+def test_plain_integers_take_no_decimal(spark):
+    texts = ["12", " 7 ", "+5", "1.5", "1.", "12.0", "1e3", "99999999999", "-2147483648", "", "x", None]
+    assert applied(spark, texts, to_int) == [12, 7, 5, None, 1, 12, 1000, None, -2147483648, None, None, None]
+    plan = spark.createDataFrame([("1",)], "v string").select(to_int(F.col("v")))._jdf.queryExecution().toString()
+    assert "coalesce(try_cast(v" in plan
+
+
+def test_dates_are_read_without_a_parser_of_patterns(spark):
+    """The same dates as by patterns, also at the edges of months and years."""
+    edges = ["29/02/2020", "29/02/2021", "2020-2-9", "1/13/2020", "0/1/2020", "2020-00-10", "0000-01-01", "1/1/0000",
+             "9999-12-31", "31/12/0001", "2020-01-01T10:30", "1/1/2020 10:30:15.5", "2020-01-01 x", "01-02-2020", "2020/1/1"]
+    d = datetime.date
+    expected = [d(2020, 2, 29), None, d(2020, 2, 9)] + [None] * 5 + [d(9999, 12, 31), d(1, 12, 31), d(2020, 1, 1), d(2020, 1, 1)] + [None] * 3
+    assert applied(spark, edges, parse_date) == expected
+    rows = spark.createDataFrame([("x",)], "v string").select(parse_date(F.col("v")))
+    assert "gettimestamp" not in rows._jdf.queryExecution().executedPlan().toString().lower()
+
+
 def test_exact_avg_rounds_half_away_from_zero(spark):
     df = spark.createDataFrame(
         [("a", "0.01"), ("a", "0.02"), ("b", "-0.01"), ("b", "-0.02"), ("c", None), ("d", "1.00"), ("d", None)],

@@ -140,6 +140,23 @@ def test_ragged_rows_are_counted(spark, csv):
     assert prices.ragged_rows(spark, path).first().ragged == 2
 
 
+def test_unread_texts_cost_no_second_conversion(spark, tmp_path):
+    path = tmp_path / "three-columns.csv"
+    path.write_text("date,market,price\n2020-01-01,Wakulima,12\n")
+    typed = prices.type_columns(prices.scan_named(spark, str(path)), price=prices.WIDE, date_formats=None, unread="unread")
+    plan = typed._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("try_cast(") == 1
+    assert typed.columns[-1] == "unread" and rows(typed, "price", "unread") == [(Decimal("12.0000000000"), None)]
+
+
+def test_compressed_csv_holds_the_same_rows_in_small_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(prices, "COMPRESSED_ROWS", 10)
+    df = spark.range(25).selectExpr("concat(' ', id, ',\"') AS market").coalesce(1)
+    prices.write_csv(df, str(tmp_path / "out"), compression="gzip")
+    assert len(list((tmp_path / "out").glob("*.csv.gz"))) == 3
+    assert rows(prices.scan_named(spark, str(tmp_path / "out"))) == rows(df)
+
+
 def test_unread_texts_are_kept_and_counted(spark, csv):
     path = csv("12,x,1e3", "250000000,3,", "1854.5,4,1", header="price,usdprice,market_id")
     typed = prices.type_columns(prices.scan_named(spark, path), price=prices.WIDE, date_formats=None, unread="unread")
