@@ -10,7 +10,7 @@ import hashlib
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from priceflow.operators.enrich import clean
+from priceflow.operators.enrich import clean_without_derived
 from priceflow.operators.strict import clean_strict
 from priceflow.plans.pipeline import run_pipeline, store_cleaned
 from priceflow.schemas import RAW
@@ -133,7 +133,7 @@ class Inputs:
         """The cleaned, enriched prices that checks and loads read."""
         path, made = self._made("enriched")
         if not made:
-            return store_cleaned(clean(self.extracted(), f"{self.root}/enriched_work"), path)
+            return store_cleaned(clean_without_derived(self.extracted(), f"{self.root}/enriched_work"), path)
         return self._read(path)
 
     def warehouse(self) -> Warehouse:

@@ -74,10 +74,14 @@ def price_per_kg(df: DataFrame) -> DataFrame:
 
 def clean(df: DataFrame, work_dir: str, date_formats: tuple[str, ...] = ("iso", "dmy")) -> DataFrame:
     """The whole chain. The result is not sorted: readers that need an order name it."""
+    return price_per_kg(clean_without_derived(df, work_dir, date_formats))
+
+
+def clean_without_derived(df: DataFrame, work_dir: str, date_formats: tuple[str, ...] = ("iso", "dmy")) -> DataFrame:
+    """The chain up to ``price_per_kg``, which follows from single rows: who shuffles them adds it afterwards."""
     return (
         df.transform(standardize_columns)
         .transform(parse_dates, date_formats)
         .transform(handle_missing, work_dir)
         .transform(standardize_names)
-        .transform(price_per_kg)
     )

@@ -9,7 +9,7 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from priceflow.functions.dates import parse_date
-from priceflow.operators.enrich import clean
+from priceflow.operators.enrich import clean_without_derived, price_per_kg
 from priceflow.operators.quality import QualityCheckError, apply_gate, quality_report
 from priceflow.operators.strict import clean_strict
 from priceflow.plans import strict_queries
@@ -38,11 +38,13 @@ def incremental_filter(
     return df.where(newer)
 
 
-def store_cleaned(cleaned: DataFrame, path: str) -> DataFrame:
+def store_cleaned(uniform: DataFrame, path: str) -> DataFrame:
     """Write the cleaned rows for the steps that share them, gathered by year into files of even
-    size: a year that holds most of the rows is spread over as many tasks as it needs."""
-    years = cleaned.hint("rebalance", "year").sortWithinPartitions("year", "date")
-    years.write.mode("overwrite").partitionBy("year").parquet(path)
+    size: a year that holds most of the rows is spread over as many tasks as it needs.
+
+    ``uniform`` comes from ``clean_without_derived``. Prices per kilogram are added behind the shuffle."""
+    cleaned = price_per_kg(uniform.hint("rebalance", "year"))
+    cleaned.sortWithinPartitions("year", "date").write.mode("overwrite").partitionBy("year").parquet(path)
     return cleaned.sparkSession.read.schema(cleaned.schema).parquet(path).select(*cleaned.columns)
 
 
@@ -101,7 +103,7 @@ def run_pipeline(
         if not summary["rows_extracted"]:
             return summary | {"status": "no_new_data"}
 
-        cleaned = store_cleaned(clean(raw, work_dir, date_formats), f"{work_dir}/cleaned")
+        cleaned = store_cleaned(clean_without_derived(raw, work_dir, date_formats), f"{work_dir}/cleaned")
         summary["rows_cleaned"] = cleaned.count()
 
         report = quality_report(cleaned).collect()
