@@ -56,10 +56,11 @@ def load_star(
     if failing and on_violation != "reject":
         raise ConstraintViolation("rows break declared constraints: " + _listed(failing))
     if failing:
+        # The length of a null is null, and breaks nothing. Rules are named for the rows only that break one.
+        breaks = F.coalesce(reduce(or_, broken.values()), F.lit(False))
         names = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in broken.items()]))
-        rejected = cleaned.withColumn("broken", names).where(F.size("broken") > 0)
-        rejected_rows += set_apart(rejected, "rows")
-        cleaned = cleaned.where(~reduce(or_, broken.values()))
+        rejected_rows += set_apart(cleaned.where(breaks).withColumn("broken", names), "rows")
+        cleaned = cleaned.where(~breaks)
 
     candidates = {
         "dim_date": dimensions.date_dimension,

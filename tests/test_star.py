@@ -204,3 +204,11 @@ def test_column_constraints(spark):
     }
     prices = spark.createDataFrame([("999999.99",), ("1000000",), (None,)], "price string")
     assert rows(constraints.column_constraints(prices, RAW)) == [("price", "fits_type", 1)]
+
+
+def test_a_row_with_a_null_text_is_no_rejected_row(spark, work, tmp_path):
+    """The length of a null is null: beside a rejected row it neither breaks a rule nor gets lost."""
+    warehouse = Warehouse(spark, str(tmp_path / "nulls"))
+    counts = one_load(spark, warehouse, work, "a", {"price_flag": None}, {"date": None, "price_flag": None}, on_violation="reject")
+    assert (counts["staging"], counts["fact_prices"], counts["rejected"]) == (1, 1, 1)
+    assert rows(warehouse.read_rejected(), "broken") == [(["date.not_null"],)]
