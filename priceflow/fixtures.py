@@ -14,7 +14,7 @@ from priceflow.operators.enrich import clean_without_derived
 from priceflow.operators.strict import clean_strict
 from priceflow.plans.pipeline import run_pipeline, store_cleaned
 from priceflow.schemas import RAW
-from priceflow.session import application_dir, path_exists
+from priceflow.session import application_dir, bound_splits, path_exists, store_table
 from priceflow.sources.prices import WIDE, read_raw, scan_named, type_columns, write_csv
 from priceflow.sources.warehouse import Warehouse
 
@@ -95,6 +95,7 @@ class Inputs:
 
     def _read(self, path: str) -> DataFrame:
         """Looks at the files for the schema once, not in every query."""
+        bound_splits(self.spark)
         if path not in _SCHEMAS:
             _SCHEMAS[path] = self.spark.read.parquet(path).schema
         return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
@@ -110,14 +111,14 @@ class Inputs:
         """The raw table: all columns typed."""
         path, made = self._made("raw")
         if not made:
-            read_raw(self.spark, self.csv(), ("iso", "dmy")).write.mode("overwrite").parquet(path)
+            store_table(read_raw(self.spark, self.csv(), ("iso", "dmy")), path)
         return self._read(path).select(*RAW.names)
 
     def cleaned(self) -> DataFrame:
         """The strictly cleaned table."""
         path, made = self._made("cleaned")
         if not made:
-            clean_strict(self.raw()).write.mode("overwrite").parquet(path)
+            store_table(clean_strict(self.raw()), path)
         return self._read(path)
 
     def extracted(self) -> DataFrame:
@@ -126,7 +127,7 @@ class Inputs:
         if not made:
             source = scan_named(self.spark, self.csv(), row_seq=True)
             typed = type_columns(source, price=WIDE, date_formats=None, coordinate=WIDE)
-            typed.write.mode("overwrite").parquet(path)
+            store_table(typed, path)
         return self._read(path)
 
     def enriched(self) -> DataFrame:

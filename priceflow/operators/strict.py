@@ -11,11 +11,13 @@ from priceflow.functions.dates import parse_date
 from priceflow.functions.numbers import to_double, to_int
 from priceflow.functions.text import strip
 from priceflow.schemas import RAW, STRICT_RENAMES, text_columns
+from priceflow.session import bound_splits
 
 
 def clean_strict(raw: DataFrame) -> DataFrame:
     """Raw table to cleaned table. Copies collapse in the map tasks before they are shuffled, so a
-    large group of equal rows costs no more than any other."""
+    large group of equal rows costs no more than any other. A map task holds the different rows of its split, so splits are bounded."""
+    bound_splits(raw.sparkSession)
     return complete_rows(raw.select(*RAW.names)).withColumnsRenamed(STRICT_RENAMES).distinct()
 
 

@@ -8,7 +8,10 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from priceflow import session
+from priceflow.operators import strict
 from priceflow.plans.strict_queries import distinct_counts
+from priceflow.schemas import RAW, storage_schema
 from priceflow.session import hand_off, path_exists, scratch_path, scratch_scope
 
 
@@ -58,3 +61,23 @@ def test_several_distinct_counts_without_doubling_rows(spark):
     assert sorted(map(str, counts.collect())) == sorted(map(str, expected.collect()))
     assert "Expand" not in counts._jdf.queryExecution().toString()
     assert distinct_counts(df.where("false"), ["k"], {"a": "as", "b": "bs"}).count() == 0
+
+
+def test_large_tables_are_read_in_bounded_splits(spark, tmp_path, monkeypatch):
+    key = "spark.sql.files.maxPartitionBytes"
+    monkeypatch.setattr(session, "SPLIT_BYTES", 1 << 18)
+    usual = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "128MB")
+        values = spark.range(0, 400_000, numPartitions=1).select("id", F.rand(1).alias("value"))
+        stored = session.store_table(values, str(tmp_path / "t"))
+        per_task = stored.groupBy(F.spark_partition_id().alias("task")).count().collect()
+        assert sum(r["count"] for r in per_task) == 400_000 and max(r["count"] for r in per_task) <= 100_000
+        spark.conf.set(key, "64k")
+        session.bound_splits(spark)
+        assert spark.conf.get(key) == "64k"
+        spark.conf.set(key, "128MB")
+        strict.clean_strict(spark.createDataFrame([], storage_schema(RAW)))
+        assert int(spark.conf.get(key)) == 1 << 18
+    finally:
+        spark.conf.set(key, usual)
