@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from priceflow import schemas
 from priceflow.operators import dimensions
 from priceflow.operators.constraints import declared_rules, required
-from priceflow.session import hand_off, remove_path
+from priceflow.session import SPLIT_BYTES, hand_off, remove_path, store_table, stored_bytes
 from priceflow.sources.warehouse import DIMENSIONS, TABLES, Warehouse
 
 COUNTED = ("staging", "dim_date", "dim_commodity", "dim_market", "fact_prices", "rejected")
@@ -145,12 +145,11 @@ def compact(warehouse: Warehouse, load_id: str | None = None) -> int:
         if len(replaced) < 2:
             return 0
         for table in TABLES:
-            rows, path = warehouse.read(table), warehouse.path(table, load_id)
+            path = warehouse.path(table, load_id)
             if table in DIMENSIONS:
-                _store(rows.hint("rebalance"), path)
+                _store(warehouse.read(table).hint("rebalance"), path)
             else:
-                date = "date_id" if table == "fact_prices" else "date"
-                _store_by_year(rows.withColumn("year", F.year(date)).hint("rebalance", "year"), date, path)
+                _store_by_year(gathered_by_year(warehouse, table), "date_id" if table == "fact_prices" else "date", path)
         row = dict.fromkeys(COUNTED, 0) | {"load_id": load_id, "full_reload": False, "replaces": replaced}
         while all(set(names) <= set(warehouse.live_loads(table)) for table, names in read.items()):
             if warehouse.publish(row):
@@ -158,6 +157,18 @@ def compact(warehouse: Warehouse, load_id: str | None = None) -> int:
             warehouse.refresh()
 
 
+def gathered_by_year(warehouse: Warehouse, table: str) -> DataFrame:
+    """The published rows of a table that is split by year, in tasks of one year each and about ``SPLIT_BYTES`` of files.
+
+    The folders hold one year each already, so small files are read together and nothing is shuffled. A year gets two tasks
+    at least: Spark makes a union of single partitions one task."""
+    parts = []
+    for _, folders in sorted(warehouse.year_folders(table).items()):
+        tasks = -(-sum(stored_bytes(warehouse.spark, folder) for folder in folders) // SPLIT_BYTES)
+        parts.append(warehouse.read_folders(table, folders).coalesce(max(tasks, 2)))
+    return reduce(DataFrame.unionAll, parts) if parts else warehouse.read(table)
+
+
 #: What every row needs: the keys of the fact table, and the date of the staging table.
 ROW_KEYS = ("date", "commodity_id", "market_id")
 
@@ -219,13 +230,11 @@ def _next_id(loads: list, column: str) -> int:
 
 
 def _store(df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return store_table(df, path)
 
 
 def _store_by_year(df: DataFrame, date: str, path: str) -> DataFrame:
     """Split by year and, inside the files, sorted by date. The tasks keep the split of the stored
     input, which is by year already, so nothing is shuffled."""
     dated = df.withColumn("year", F.year(date))
-    dated.sortWithinPartitions("year", date).write.mode("overwrite").partitionBy("year").parquet(path)
-    return df.sparkSession.read.schema(dated.schema).parquet(path)
+    return store_table(dated.sortWithinPartitions("year", date), path, ["year"])

@@ -15,7 +15,7 @@ from priceflow.operators.strict import clean_strict
 from priceflow.plans import strict_queries
 from priceflow.plans.load import load_star
 from priceflow.schemas import CLEANED, storage_schema
-from priceflow.session import hand_off, remove_path
+from priceflow.session import hand_off, remove_path, store_table
 from priceflow.sources.prices import (
     RAGGED, WIDE, extract_first, route_ragged, scan_named, scan_text, type_columns, unread_counts,
 )
@@ -42,10 +42,10 @@ def store_cleaned(uniform: DataFrame, path: str) -> DataFrame:
     """Write the cleaned rows for the steps that share them, gathered by year into files of even
     size: a year that holds most of the rows is spread over as many tasks as it needs.
 
-    ``uniform`` comes from ``clean_without_derived``. Prices per kilogram are added behind the shuffle."""
-    cleaned = price_per_kg(uniform.hint("rebalance", "year"))
-    cleaned.sortWithinPartitions("year", "date").write.mode("overwrite").partitionBy("year").parquet(path)
-    return cleaned.sparkSession.read.schema(cleaned.schema).parquet(path).select(*cleaned.columns)
+    ``uniform`` comes from ``clean_without_derived``. The month and prices per kilogram are added behind the shuffle."""
+    gathered = uniform.drop("month").hint("rebalance", "year").withColumn("month", F.month("date"))
+    cleaned = price_per_kg(gathered.select(*uniform.columns))
+    return store_table(cleaned.sortWithinPartitions("year", "date"), path, ["year"]).select(*cleaned.columns)
 
 
 def run_pipeline(
@@ -86,7 +86,7 @@ def run_pipeline(
             return kept.unionByName(typed.where(F.col(RAGGED).isNotNull()))
 
         source = extract_first(
-            spark, sources, lambda rows, name: hand_off(extracted(rows), f"{work_dir}/{name}"), row_seq=True, mark_ragged=True
+            spark, sources, lambda rows, name: store_table(extracted(rows), f"{work_dir}/{name}"), row_seq=True, mark_ragged=True
         )
         summary |= {"source": source.path, "source_failures": list(source.failures)}
         raw, broken, found = route_ragged(

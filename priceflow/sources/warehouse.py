@@ -96,18 +96,30 @@ class Warehouse:
 
     def read(self, table: str) -> DataFrame:
         """The published rows."""
+        return self.read_folders(table, [self.path(table, i) for i in self.live_loads(table)])
+
+    def year_folders(self, table: str) -> dict[str, list[str]]:
+        """The folders that hold the published rows of a table split by year, by the name of the year's folder."""
+        found: dict[str, list[str]] = {}
+        for load in (self.path(table, i) for i in self.live_loads(table)):
+            for name, _ in list_folders(self.spark, load):
+                if name.startswith("year="):
+                    found.setdefault(name, []).append(f"{load}/{name}")
+        return found
+
+    def read_folders(self, table: str, folders: list[str]) -> DataFrame:
+        """The rows in some of the table's folders."""
         schema = TABLES[table]
         names = schema.names
-        ids = self.live_loads(table)
         if table not in DIMENSIONS:
             schema = T.StructType([f for f in schema.fields if f.name != "year"])
             schema = schemas.storage_schema(schema, _LOAD_ID, _YEAR)
         else:
             schema = schemas.storage_schema(schema, _LOAD_ID)
-        if not ids:
+        if not folders:
             return self.spark.createDataFrame([], schema).select(*names)
         stored = self.spark.read.schema(schema).option("basePath", self.path(table))
-        return stored.parquet(*[self.path(table, i) for i in ids]).select(*names)
+        return stored.parquet(*folders).select(*names)
 
     def high_water_mark(self):
         """The last date in the staging table, from the list of loads; None before the first load."""

@@ -131,3 +131,18 @@ def test_strict_tables_are_replaced_together(spark, tmp_path, monkeypatch):
     assert tables.read("raw").count() == 2 and {name: rows(df) for name, df in opened.items()} == before
     assert tables.vacuum() == [] and len(tables.vacuum(datetime.timedelta(0))) == 2
     assert tables.read("cleaned").count() == 2
+
+
+def test_compaction_reads_year_by_year_without_a_shuffle(spark, tmp_path, work):
+    warehouse = Warehouse(spark, str(tmp_path / "w"))
+    for i in range(3):
+        one_load(spark, warehouse, work, f"l{i}", *({"date": datetime.date(2019 + y, 1, 1 + i)} for y in range(2)))
+    for table in ("fact_prices", "stg_cleaned_prices"):
+        gathered = load.gathered_by_year(warehouse, table)
+        assert "Exchange" not in gathered._jdf.queryExecution().executedPlan().toString()
+        assert rows(gathered) == rows(warehouse.read(table)) and gathered.count() == 6
+        assert 2 <= gathered.rdd.getNumPartitions() <= 4
+    assert load.compact(warehouse, "c") == 3
+    for table in ("fact_prices", "stg_cleaned_prices"):
+        files = sorted(f.parent.name for f in (tmp_path / "w" / table / "load_id=c").rglob("*.parquet"))
+        assert set(files) == {"year=2019", "year=2020"} and len(files) <= 4
