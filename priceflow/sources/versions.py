@@ -7,7 +7,7 @@ from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, types as T
 
-from priceflow.session import hand_off, list_folders, remove_path
+from priceflow.session import list_folders, remove_path, store_table
 from priceflow.sources.commits import CommitLog
 
 VERSIONS = T.StructType(
@@ -30,7 +30,7 @@ class Version:
 
     def write(self, table: str, rows: DataFrame) -> DataFrame:
         """Store a table and read it back."""
-        return hand_off(rows, f"{self.path}/{table}")
+        return store_table(rows, f"{self.path}/{table}")
 
 
 class VersionedTables:

@@ -13,6 +13,7 @@ from priceflow.operators import strict
 from priceflow.plans.strict_queries import distinct_counts
 from priceflow.schemas import RAW, storage_schema
 from priceflow.session import hand_off, path_exists, scratch_path, scratch_scope
+from priceflow.sources.versions import VersionedTables
 
 
 def test_tables_of_a_scope_go_with_it(spark):
@@ -70,9 +71,10 @@ def test_large_tables_are_read_in_bounded_splits(spark, tmp_path, monkeypatch):
     try:
         spark.conf.set(key, "128MB")
         values = spark.range(0, 400_000, numPartitions=1).select("id", F.rand(1).alias("value"))
-        stored = session.store_table(values, str(tmp_path / "t"))
-        per_task = stored.groupBy(F.spark_partition_id().alias("task")).count().collect()
-        assert sum(r["count"] for r in per_task) == 400_000 and max(r["count"] for r in per_task) <= 100_000
+        version = VersionedTables(spark, str(tmp_path / "v")).new_version()
+        for stored in (session.store_table(values, str(tmp_path / "t")), version.write("t", values)):
+            per_task = stored.groupBy(F.spark_partition_id().alias("task")).count().collect()
+            assert sum(r["count"] for r in per_task) == 400_000 and max(r["count"] for r in per_task) <= 100_000
         spark.conf.set(key, "64k")
         session.bound_splits(spark)
         assert spark.conf.get(key) == "64k"
