@@ -48,10 +48,12 @@ def handle_missing(df: DataFrame, work_dir: str) -> DataFrame:
 
 def standardize_names(df: DataFrame) -> DataFrame:
     """Trim and title-case the names, upper-case the currency. Null stays null."""
-    names = {c: title_case(strip(F.col(c))) for c in TITLE_COLUMNS if c in df.columns}
+    stripped = df.withColumns({c: strip(F.col(c)) for c in (*TITLE_COLUMNS, "currency") if c in df.columns})
+    # Title case looks at a name several times, so the stripped names are columns of their own first.
+    names = {c: title_case(F.col(c)) for c in TITLE_COLUMNS if c in df.columns}
     if "currency" in df.columns:
-        names["currency"] = F.upper(strip(F.col("currency")))
-    return df.withColumns(names)
+        names["currency"] = F.upper("currency")
+    return stripped.withColumns(names)
 
 
 def unit_kg(unit: Column) -> Column:

@@ -34,7 +34,7 @@ def load_star(
     """Append ``cleaned`` as one load and return the rows per table; dimensions count what the batch
     holds, also where the key was there before.
 
-    ``cleaned`` is read several times and should be a stored table. ``on_violation="fail"`` stops when
+    ``cleaned`` is read several times and should be a stored table, best with the column of ``mark_broken``: the rules read all columns. ``on_violation="fail"`` stops when
     a row breaks a declared constraint; ``"reject"`` keeps such rows, with the rules, in the table ``rejected`` instead.
     A ``load_id`` that is already published is not loaded again.
 
@@ -49,18 +49,17 @@ def load_star(
     def set_apart(rows: DataFrame, part: str) -> int:
         return _store(rows, f"{warehouse.path('rejected', load_id)}/part={part}").count()
 
-    broken = broken_rules(cleaned.columns)
-    counted = cleaned.agg(*[F.count_if(rule).alias(name) for name, rule in broken.items()]).first().asDict()
-    failing = {name: n for name, n in counted.items() if n}
+    if BROKEN not in cleaned.columns:
+        cleaned = mark_broken(cleaned)
+    breaking = cleaned.where(F.col(BROKEN).isNotNull()).withColumn("broken", F.split(BROKEN, ",")).drop(BROKEN)
+    failing = {r.rule: r["count"] for r in breaking.select(F.explode("broken").alias("rule")).groupBy("rule").count().collect()}
     rejected_rows = 0
     if failing and on_violation != "reject":
         raise ConstraintViolation("rows break declared constraints: " + _listed(failing))
     if failing:
-        # The length of a null is null, and breaks nothing. Rules are named for the rows only that break one.
-        breaks = F.coalesce(reduce(or_, broken.values()), F.lit(False))
-        names = F.array_compact(F.array(*[F.when(rule, F.lit(name)) for name, rule in broken.items()]))
-        rejected_rows += set_apart(cleaned.where(breaks).withColumn("broken", names), "rows")
-        cleaned = cleaned.where(~breaks)
+        rejected_rows += set_apart(breaking, "rows")
+        cleaned = cleaned.where(F.col(BROKEN).isNull())
+    cleaned = cleaned.drop(BROKEN)
 
     candidates = {
         "dim_date": dimensions.date_dimension,
@@ -182,6 +181,19 @@ def broken_rules(columns: Sequence[str]) -> dict[str, Column]:
     return {f"{c}.not_null": F.col(c).isNull() for c in ROW_KEYS} | rules
 
 
+#: The names of the rules that a cleaned row breaks, with commas between them; null if it breaks none.
+BROKEN = "_broken"
+
+
+def mark_broken(cleaned: DataFrame) -> DataFrame:
+    """``cleaned`` with the column ``BROKEN``."""
+    broken = broken_rules(cleaned.columns)
+    # The length of a null is null, and breaks nothing. Rules are named for the rows only that break one.
+    breaks = F.coalesce(reduce(or_, broken.values()), F.lit(False))
+    names = F.concat_ws(",", *[F.when(rule, F.lit(name)) for name, rule in broken.items()])
+    return cleaned.withColumn(BROKEN, F.when(breaks, names))
+
+
 def violates_required() -> Column:
     """Whether a cleaned row lacks a key that the fact table requires."""
     return reduce(or_, [F.col(c).isNull() for c in ROW_KEYS])

@@ -13,11 +13,11 @@ from priceflow.operators.enrich import clean_without_derived, price_per_kg
 from priceflow.operators.quality import QualityCheckError, apply_gate, quality_report
 from priceflow.operators.strict import clean_strict
 from priceflow.plans import strict_queries
-from priceflow.plans.load import load_star
+from priceflow.plans.load import load_star, mark_broken
 from priceflow.schemas import CLEANED, storage_schema
 from priceflow.session import hand_off, remove_path, store_table
 from priceflow.sources.prices import (
-    RAGGED, WIDE, extract_first, route_ragged, scan_named, scan_text, type_columns, unread_counts,
+    LONG, RAGGED, WIDE, extract_first, large_numbers, route_ragged, scan_named, scan_text, type_columns, unread_counts, widened,
 )
 from priceflow.sources.versions import VersionedTables
 from priceflow.sources.warehouse import Warehouse
@@ -38,13 +38,15 @@ def incremental_filter(
     return df.where(newer)
 
 
-def store_cleaned(uniform: DataFrame, path: str) -> DataFrame:
+def store_cleaned(uniform: DataFrame, path: str, mark: bool = False) -> DataFrame:
     """Write the cleaned rows for the steps that share them, gathered by year into files of even
     size: a year that holds most of the rows is spread over as many tasks as it needs.
 
-    ``uniform`` comes from ``clean_without_derived``. The month and prices per kilogram are added behind the shuffle."""
+    ``uniform`` comes from ``clean_without_derived``. The month and prices per kilogram are added behind the shuffle, and with ``mark`` the rules
+    that a row breaks, so that the load evaluates them once."""
     gathered = uniform.drop("month").hint("rebalance", "year").withColumn("month", F.month("date"))
     cleaned = price_per_kg(gathered.select(*uniform.columns))
+    cleaned = mark_broken(cleaned) if mark else cleaned
     return store_table(cleaned.sortWithinPartitions("year", "date"), path, ["year"]).select(*cleaned.columns)
 
 
@@ -79,7 +81,7 @@ def run_pipeline(
 
         def extracted(rows: DataFrame) -> DataFrame:
             """Typed and new rows, and all ragged records: their dates may be those of other fields."""
-            typed = type_columns(rows, price=WIDE, date_formats=None, coordinate=WIDE, unread="unread")
+            typed = type_columns(rows, price=LONG, date_formats=None, coordinate=LONG, unread="unread", beside=WIDE)
             if mark is None:
                 return typed
             kept = incremental_filter(typed.where(F.col(RAGGED).isNull()), mark, date_formats)
@@ -97,13 +99,14 @@ def run_pipeline(
         summary |= found
         if found["ragged"] and not dry_run:
             broken.write.mode("overwrite").parquet(warehouse.path("broken_records", load_id))
-        summary["rows_extracted"] = raw.count()
+        counted = raw.agg(F.count("*").alias("_rows"), *large_numbers(raw).values()).first().asDict()
+        summary["rows_extracted"] = counted.pop("_rows")
         summary["unread"] = {r["column_name"]: r["rows"] for r in unread_counts(raw, "unread").collect()}
-        raw = raw.drop("unread")
+        raw = widened(raw.drop("unread"), [c for c, n in counted.items() if n])
         if not summary["rows_extracted"]:
             return summary | {"status": "no_new_data"}
 
-        cleaned = store_cleaned(clean_without_derived(raw, work_dir, date_formats), f"{work_dir}/cleaned")
+        cleaned = store_cleaned(clean_without_derived(raw, work_dir, date_formats), f"{work_dir}/cleaned", mark=True)
         summary["rows_cleaned"] = cleaned.count()
 
         report = quality_report(cleaned).collect()

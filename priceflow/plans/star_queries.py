@@ -24,6 +24,11 @@ def _parts(*measures: str) -> list[Column]:
     ]
 
 
+def _avg(measure: str, digits: int) -> Column:
+    """The total keeps 20 digits before the point, which leaves the quotient 18 behind it."""
+    return F.round(F.try_divide(F.sum(measure).cast("decimal(24,4)"), F.count(measure)), digits)
+
+
 def _avg_of_parts(measure: str, digits: int) -> Column:
     """The total keeps 20 digits before the point, which leaves the quotient 18 behind it."""
     total = F.sum(f"{measure}_sum").cast("decimal(24,4)")
@@ -33,29 +38,22 @@ def _avg_of_parts(measure: str, digits: int) -> Column:
 def monthly_avg_price(
     fact: DataFrame, dim_date: DataFrame, dim_commodity: DataFrame, dim_market: DataFrame
 ) -> DataFrame:
-    """Folded by month and the two ids first, so that joins move sums, and again by their attributes.
-
-    Single days would hardly fold: the date dimension, a row for each day, is joined before.
+    """Folded by month and attributes at once, behind the joins. A month, commodity and market have hardly more than one row for each
+    price type, so a fold by the ids would shuffle nearly all rows, with their sums, once more.
     """
     dated = fact.join(dim_date.select("date_id", "year", "month"), "date_id")
     month = month_start(F.col("date_id")).alias("price_month")
-    ids = dated.groupBy("year", "month", month, "commodity_id", "market_id").agg(
-        *_parts("price", "usd_price", "price_per_kg"),
-        F.count("*").alias("rows"),
-        F.min("price").alias("lowest"),
-        F.max("price").alias("highest"),
-    )
     return (
-        ids.join(dim_commodity.select("commodity_id", "commodity", "category"), "commodity_id")
+        dated.join(dim_commodity.select("commodity_id", "commodity", "category"), "commodity_id")
         .join(dim_market.select("market_id", "county"), "market_id")
-        .groupBy("year", "month", "price_month", "county", "commodity", "category")
+        .groupBy("year", "month", month, "county", "commodity", "category")
         .agg(
-            F.sum("rows").alias("observation_count"),
-            _avg_of_parts("price", 2).alias("avg_price_kes"),
-            _avg_of_parts("usd_price", 4).alias("avg_usd_price"),
-            _avg_of_parts("price_per_kg", 2).alias("avg_price_per_kg"),
-            F.round(F.min("lowest"), 2).alias("min_price"),
-            F.round(F.max("highest"), 2).alias("max_price"),
+            F.count("*").alias("observation_count"),
+            _avg("price", 2).alias("avg_price_kes"),
+            _avg("usd_price", 4).alias("avg_usd_price"),
+            _avg("price_per_kg", 2).alias("avg_price_per_kg"),
+            F.round(F.min("price"), 2).alias("min_price"),
+            F.round(F.max("price"), 2).alias("max_price"),
         )
         .orderBy(F.desc_nulls_first("price_month"), F.asc_nulls_last("county"), F.asc_nulls_last("commodity"))
     )

@@ -10,7 +10,7 @@ from uuid import uuid4
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, IllegalArgumentException
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from priceflow.functions.dates import parse_date
 from priceflow.functions.numbers import to_decimal, to_int
@@ -28,6 +28,11 @@ RAGGED, SOURCE_FILE = "_ragged", "_source_file"
 # Wide enough for any price or coordinate that a source may hold; declared widths are checked at the load.
 WIDE = (28, 10)
 
+#: Numbers of at most 18 digits are held as longs by Spark and Parquet, wider ones as big integers, which take several times as long. So
+#: ``type_columns`` can read the usual numbers in this type and the larger ones of ``WIDE`` beside them, and ``widened`` puts them together.
+LONG = (18, 10)
+_BESIDE = "_wide_"
+
 
 def scan_text(
     spark: SparkSession, path: str | list[str], row_seq: bool = False, multi_line: bool = False
@@ -135,13 +140,15 @@ def type_columns(
     date_formats: Sequence[str] | None = ("iso", "dmy"),
     coordinate: tuple[int, int] = (8, 4),
     unread: str | None = None,
+    beside: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Text to the given types; what does not convert becomes null and the row stays.
 
     ``date_formats=None`` leaves the date as text, for pipelines that parse it later. ``unread`` names a
     column to add: a map from the columns of the row that have text but no value to that text, null if all have one.
+    ``beside`` is a wider type of as many decimals: numbers too large for ``price`` or ``coordinate`` stand in columns of their own, see ``widened``.
     """
-    typed = {}
+    typed, decimals = {}, []
     for field in RAW.fields:
         column = F.col(field.name)
         if field.name not in df.columns:
@@ -150,20 +157,41 @@ def type_columns(
             typed[field.name] = to_int(column)
         elif field.name in ("price", "usdprice"):
             typed[field.name] = to_decimal(column, *price)
+            decimals.append(field.name)
         elif isinstance(field.dataType, T.DecimalType):
             typed[field.name] = to_decimal(column, *coordinate)
+            decimals.append(field.name)
         elif field.name == "date" and date_formats is not None:
             typed[field.name] = parse_date(column, date_formats)
-    if not unread:
+    if not unread and not beside:
         return df.withColumns(typed)
     # Values are columns of their own first, so that what is unread is found without converting again.
     values = {c: f"_value_{c}" for c in typed}
     known = df.withColumns({values[c]: value for c, value in typed.items()})
     lost = {c: F.col(c).isNotNull() & F.col(v).isNull() for c, v in values.items()}
+    large = [f"{_BESIDE}{c}" for c in decimals] if beside else []
+    if large:
+        known = known.withColumns({f"{_BESIDE}{c}": F.when(lost[c], to_decimal(F.col(c), *beside)) for c in decimals})
+        lost |= {c: lost[c] & F.col(f"{_BESIDE}{c}").isNull() for c in decimals}
     texts = [F.when(no, F.struct(F.lit(c).alias("column"), F.col(c).alias("text"))) for c, no in lost.items()]
     entries = F.when(reduce(or_, lost.values()), F.map_from_entries(F.array_compact(F.array(*texts))))
     columns = [F.col(values[c]).alias(c) if c in values else F.col(f"`{c}`") for c in df.columns]
-    return known.select(*columns, entries.alias(unread))
+    return known.select(*columns, *large, *([entries.alias(unread)] if unread else []))
+
+
+def large_numbers(typed: DataFrame) -> dict[str, Column]:
+    """How many numbers stand beside each column that ``type_columns`` read with ``beside``."""
+    return {c: F.count(f"{_BESIDE}{c}").alias(c) for c in typed.columns if f"{_BESIDE}{c}" in typed.columns}
+
+
+def widened(typed: DataFrame, large: Sequence[str]) -> DataFrame:
+    """The numbers that ``type_columns`` read with ``beside`` in one column each again: in the wider type for the columns in ``large``, and
+    in the narrow one for the others, which must have nothing beside them."""
+    kept = [c for c in typed.columns if c not in {f"{_BESIDE}{name}" for name in large_numbers(typed)}]
+    wider = {c: typed.schema[f"{_BESIDE}{c}"].dataType for c in large}
+    return typed.select(
+        *[F.coalesce(f"{_BESIDE}{c}", F.col(c).cast(wider[c])).alias(c) if c in wider else F.col(f"`{c}`") for c in kept]
+    )
 
 
 def unread_counts(typed: DataFrame, unread: str) -> DataFrame:

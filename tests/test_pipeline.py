@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import datetime
 import gzip
+from decimal import Decimal
 
 import pytest
 from base_helpers import rows
+from pyspark.sql import functions as F
 
 from priceflow.operators.quality import QualityCheckError
-from priceflow.plans.load import ConstraintViolation
+from priceflow.plans import pipeline
+from priceflow.plans.load import BROKEN, ConstraintViolation, load_star
 from priceflow.plans.models import publish_models
 from priceflow.plans.pipeline import incremental_filter, run_pipeline, run_strict
 from priceflow.schemas import RAW
@@ -136,3 +139,30 @@ def test_broken_records_are_routed_by_file(spark, source, tmp_path):
     assert sorted((names([r.file])[0], r.reason) for r in kept) == [("c.csv", "wrong number of fields"), ("d.csv", "open quote")]
     later = run_pipeline(spark, [str(folder)], root)
     assert later["status"] == "no_new_data" and len(later["ragged"]) == 2
+
+
+def test_usual_numbers_are_longs_and_large_ones_stay_exact(spark, source, tmp_path, monkeypatch):
+    """Cleaned numbers are wide only in columns that hold a large one, and the load looks at the rules once."""
+    seen = []
+
+    def load(cleaned, *options):
+        seen.append(cleaned)
+        return load_star(cleaned, *options)
+
+    monkeypatch.setattr(pipeline, "load_star", load)
+    root = str(tmp_path / "w")
+    first = run_pipeline(spark, [source("usual.csv", ("2020-01-01", 1, "90.5"), ("soon", 2, 91))], root, on_violation="reject")
+    assert (first["load"]["staging"], first["load"]["rejected"]) == (1, 1)
+    large = source("large.csv", ("2020-01-02", 1, "123456789012.25"), ("2020-01-02", 2, "1e30"), ("2020-01-03", 1, 45))
+    second = run_pipeline(spark, [large], root, on_violation="reject")
+    assert second["unread"] == {"price": 1} and (second["load"]["staging"], second["load"]["rejected"]) == (1, 1)
+    kinds = [[c.schema[name].dataType.simpleString() for name in ("price", "usd_price")] for c in seen]
+    assert kinds == [["decimal(18,10)", "decimal(18,10)"], ["decimal(28,10)", "decimal(18,10)"]]
+    kept = rows(Warehouse(spark, root).read_rejected(), "price", "price_per_kg", "broken")
+    assert kept == [
+        (Decimal("123456789012.25"), Decimal("1371742100.1361"), ["price.fits_type", "price_per_kg.fits_type"]),
+        (Decimal("91"), Decimal("1.0111"), ["date.not_null"]),
+    ]
+    assert facts(spark, root) == [(D1, 1, 90), (D3, 1, 45)]
+    passed = seen[0].where(F.col(BROKEN).isNull()).select("date")._jdf.queryExecution().optimizedPlan().toString()
+    assert "cast" not in passed and "char_length" not in passed

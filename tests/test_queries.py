@@ -107,3 +107,19 @@ def test_deviation_of_groups_beyond_ten_billion_rows(spark):
         one = one.selectExpr("usd_count", "cast(total AS decimal(22,4)) AS usd_sum", "cast(squares AS decimal(38,8)) AS usd_squares")
         found.append(one.agg(star_queries._deviation_of_parts("usd").alias("d")).first().d)
     assert found == [pytest.approx(0.0000707, rel=1e-3), None]
+
+
+def test_monthly_averages_fold_rows_once(spark):
+    """Behind small dimensions the fact rows meet one shuffle: the fold by the attributes of the ids."""
+    fact, dates, commodities = star(
+        spark, (day(2019), 1, "1", "4"), (day(2019), 3, "2.0001", None), (day(2019), 2, "5", "5"), (day(2019, 2), 1, "7", None),
+    )
+    markets = spark.createDataFrame([(1, "Hola", "Tana")], "market_id int, market string, county string")
+    found = star_queries.monthly_avg_price(fact, dates, commodities, markets)
+    assert rows(found, "month", "commodity", "observation_count", "avg_usd_price", "avg_price_per_kg", "min_price", "max_price") == [
+        (1, "Beans", 1, Decimal("5.0000"), Decimal("5.00"), Decimal("5.00"), Decimal("5.00")),
+        (1, "Maize", 2, Decimal("1.5001"), Decimal("4.00"), Decimal("1.00"), Decimal("2.00")),
+        (2, "Maize", 1, Decimal("7.0000"), None, Decimal("7.00"), Decimal("7.00")),
+    ]
+    folds = [line for line in found._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Aggregate [" in line]
+    assert sum("commodity" in fold for fold in folds) == 1

@@ -170,3 +170,17 @@ def test_dates_with_a_time(spark, csv):
     path = csv(*(f"Meru,{t}" for t in texts), header="market,date")
     day = datetime.date(2015, 1, 15)
     assert rows(prices.type_columns(prices.scan_named(spark, path)), "date") == [(None,), (day,), (day,), (day,)]
+
+
+def test_large_numbers_stand_beside_the_usual_ones(spark, csv):
+    texts = ["12.5", "99999999.99999999994", "99999999.99999999995", "-123456789012.25", "x", "1e30", ""]
+    path = csv(*(f"{t},1" for t in texts), header="price,usdprice")
+    text = prices.scan_named(spark, path)
+    typed = prices.type_columns(text, price=prices.LONG, coordinate=prices.LONG, date_formats=None, unread="unread", beside=prices.WIDE)
+    counts = typed.agg(*prices.large_numbers(typed).values()).first().asDict()
+    assert counts == {"price": 2, "usdprice": 0}
+    found = prices.widened(typed, ["price"])
+    assert [found.schema[c].dataType.simpleString() for c in ("price", "usdprice")] == ["decimal(28,10)", "decimal(18,10)"]
+    wide = prices.type_columns(text, price=prices.WIDE, coordinate=prices.WIDE, date_formats=None, unread="unread")
+    assert found.columns == wide.columns and rows(found) == rows(wide)
+    assert rows(prices.unread_counts(typed, "unread")) == [("price", 2)]
