@@ -85,7 +85,9 @@ def _rules(field: T.StructField) -> list[tuple[str, Column]]:
     if not field.nullable:
         rules.append(("not_null", value.isNull()))
     if isinstance(field.dataType, T.VarcharType):
-        rules.append(("max_length", F.char_length(value) > field.dataType.length))
+        # No text has more characters than bytes, whose number is known without counting.
+        longer = (F.octet_length(value) > field.dataType.length) & (F.char_length(value) > field.dataType.length)
+        rules.append(("max_length", longer))
     elif isinstance(field.dataType, (T.DecimalType, T.IntegerType, T.LongType)):
         fits = value.try_cast(field.dataType)
         rules.append(("fits_type", value.isNotNull() & fits.isNull()))

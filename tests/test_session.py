@@ -83,3 +83,15 @@ def test_large_tables_are_read_in_bounded_splits(spark, tmp_path, monkeypatch):
         assert int(spark.conf.get(key)) == 1 << 18
     finally:
         spark.conf.set(key, usual)
+
+
+def test_stored_paths_have_no_ranges(spark, tmp_path):
+    """Two comparisons of a long path for every row are spared; other columns keep what scans prune by."""
+    rows = spark.range(10).selectExpr("id", "struct('file:/a/long/path' AS file, id AS row) AS row_seq", "'file:/a/long/path' AS _source_file")
+    stored = session.store_table(rows.coalesce(1), str(tmp_path / "t"))
+    assert stored.where("_source_file = 'file:/a/long/path' AND row_seq.file = _source_file").count() == 10
+    parquet = pytest.importorskip("pyarrow.parquet")
+    (file,) = (tmp_path / "t").glob("*.parquet")
+    group = parquet.ParquetFile(file).metadata.row_group(0)
+    ranged = {group.column(i).path_in_schema for i in range(group.num_columns) if group.column(i).statistics is not None}
+    assert ranged == {"id", "row_seq.row"}
